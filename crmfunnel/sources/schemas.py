@@ -9,10 +9,16 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(), "decimal(18,2)": T.DecimalType(18, 2),
+    "decimal(18,6)": T.DecimalType(18, 6),
+}
+
+
 def _ddl(*groups: tuple[str, str]) -> T.StructType:
     """Build a schema from (type, 'name name name') groups."""
-    fields = [f"`{n}` {t}" for t, names in groups for n in names.split()]
-    return T.StructType.fromDDL(", ".join(fields))
+    return T.StructType([T.StructField(n, _TYPES[t]) for t, names in groups for n in names.split()])
 
 
 LEAD_EXTENSION_TEXT = (
