@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.session import tune
 from ..sources.tables import Tables, shared_dir, write_table
 from . import checks, prep
 from .activity_fact import FactOptions, activity_fact
@@ -31,6 +32,7 @@ def staged(df: DataFrame, name: str, folder: str) -> DataFrame:
 def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: FactOptions = FactOptions(),
             max_lag_days: int = checks.SOURCE_MAX_LAG_DAYS, min_rows: int = checks.MIN_FACT_ROWS) -> DataFrame:
     """Rebuild the facts and the user dimension under ``out``; gives the post-check rows."""
+    tune(spark)
     checks.source_gate(t["activity_base"], "created_at", as_of, max_lag_days)
     folder = f"{shared_dir(spark)}/rebuild-{spark.sparkContext.applicationId}"
     stream = staged(prep.activity_with_source(t), "activity_stream", folder)

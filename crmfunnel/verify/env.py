@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..plans import activity_fact as facts
 from ..plans import call_fact, dims, prep
+from ..sources.session import tune
 from ..sources.surrogate import raw_tables
 from ..sources.tables import shared_dir, write_table
 
-_STORED: set[str] = set()
+_STORED: dict[str, StructType] = {}
 
 
 class Env:
@@ -20,6 +23,7 @@ class Env:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[facts.FactOptions, DataFrame] = {}
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
@@ -37,17 +41,28 @@ class Env:
     def calls(self) -> DataFrame:
         return prep.call_detail(self.raw)
 
+    @cached_property
+    def staged_stream(self) -> DataFrame:
+        """The activity stream as a written table: the fact reads it three times."""
+        return self._stored("activity_stream", lambda: self.stream)
+
+    @cached_property
+    def staged_leads(self) -> DataFrame:
+        return self._stored("leads", lambda: self.leads)
+
     @cached_property
     def rows(self) -> DataFrame:
-        return facts.classified(self.stream)
+        return facts.classified(self.staged_stream)
 
     @cached_property
     def lead_months(self) -> DataFrame:
-        return facts.lead_months(self.rows, self.leads, self.raw)
+        return facts.lead_months(self.rows, self.staged_leads, self.raw)
 
     def build(self, opt: facts.FactOptions = facts.FactOptions()) -> DataFrame:
         """The activity fact as a lazy plan."""
-        return facts.activity_fact(self.stream, self.leads, self.raw, opt)
+        if opt not in self._built:
+            self._built[opt] = facts.activity_fact(self.staged_stream, self.staged_leads, self.raw, opt)
+        return self._built[opt]
 
     @cached_property
     def users(self) -> DataFrame:
@@ -56,16 +71,29 @@ class Env:
     @cached_property
     def fact(self) -> DataFrame:
         """The activity fact as a written table, partitioned by month."""
-        return self._stored("activity_fact", self.build(), "activity_month_start")
+        return self._stored("activity_fact", self.build, "activity_month_start")
 
     @cached_property
     def call_fact(self) -> DataFrame:
-        return self._stored("call_fact", call_fact.call_fact(self.calls, self.leads, self.raw), "call_month_start")
+        return self._stored("call_fact", lambda: call_fact.call_fact(self.calls, self.staged_leads, self.raw),
+                            "call_month_start")
 
-    def _stored(self, name: str, df: DataFrame, partition_by: str) -> DataFrame:
+    def _stored(self, name: str, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
         tag = hashlib.md5(self.sf_dir.encode()).hexdigest()[:8]
         path = f"{shared_dir(self.spark)}/{self.spark.sparkContext.applicationId}-{tag}/{name}"
         if path not in _STORED:
+            df = build()
             write_table(df, path, partition_by)
-            _STORED.add(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+            _STORED[path] = df.schema
+        return self.spark.read.schema(_STORED[path]).parquet(path)
+
+
+_ENVS: dict[tuple[str, str], Env] = {}
+
+
+def env_of(spark: SparkSession, sf_dir: str) -> Env:
+    """The inputs of a folder; plans are analysed once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ENVS:
+        _ENVS[key] = Env(tune(spark), sf_dir)
+    return _ENVS[key]

@@ -320,4 +320,8 @@ def render(sql: str) -> str:
                 visit(CTES[name], name)
                 order.append(name)
     visit(sql)
-    return "with " + ",\n".join(f"{n} as ({CTES[n]})" for n in order) + "\n" + sql if order else sql
+    if not order:
+        return sql
+    views = ",\n".join(f"{n} as ({CTES[n]})" for n in order)
+    own = sql.lstrip()
+    return f"with {views},\n{own[5:]}" if own.lower().startswith("with ") else f"with {views}\n{sql}"

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .env import Env
+from .env import Env, env_of
 from .oracle import render
 
 
@@ -34,7 +34,7 @@ def add_columns(key: str, frame: Callable[[Env], DataFrame], columns: str, view:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(entry: Entry):
-        return lambda spark, sf_dir: entry.build(Env(spark, sf_dir))
+        return lambda spark, sf_dir: entry.build(env_of(spark, sf_dir))
     return {k: runner(e) for k, e in ENTRIES.items()}
 
 
