@@ -23,13 +23,15 @@ def as_of(events: DataFrame, changes: DataFrame, key: str, event_at: str, event_
         .select(F.col(key), F.col(change_at).alias("_at"), F.lit(1).alias("_side"), F.col(value).alias("_value")))
     both = (stream_events.unionByName(stream_changes, allowMissingColumns=True)
             .withColumn(chunk, F.date_trunc(bucket, "_at")))
-    inside = Window.partitionBy(key, chunk).orderBy("_at", "_side", "_value", event_id)
+    # forward and backward windows: frames that end at the current row cost one pass
+    order = ["_at", "_side", "_value", event_id]
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    forward = Window.partitionBy(key, chunk).orderBy(*order).rowsBetween(*upto)
+    backward = Window.partitionBy(key, chunk).orderBy(*[F.desc(c) for c in order]).rowsBetween(*upto)
     both = (
         both
-        .withColumn("_before", F.last("_value", ignorenulls=True).over(
-            inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("_after", F.first("_value", ignorenulls=True).over(
-            inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+        .withColumn("_before", F.last("_value", ignorenulls=True).over(forward))
+        .withColumn("_after", F.last("_value", ignorenulls=True).over(backward))
         .filter(F.col("_side") == 0))
 
     change = F.struct("_at", "_value")
@@ -37,14 +39,14 @@ def as_of(events: DataFrame, changes: DataFrame, key: str, event_at: str, event_
                .groupBy(key, chunk).agg(F.max(change).alias("_hi"), F.min(change).alias("_lo")))
     # chunks of events need a row too, so that they can look around themselves
     marks = stream_events.select(key, F.date_trunc(bucket, "_at").alias(chunk)).distinct()
-    across = Window.partitionBy(key).orderBy(chunk)
+    above = (Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(chunk).rowsBetween(*above)
+    later = Window.partitionBy(key).orderBy(F.desc(chunk)).rowsBetween(*above)
     around = (
         reduced.unionByName(marks, allowMissingColumns=True)
         .groupBy(key, chunk).agg(F.max("_hi").alias("_hi"), F.max("_lo").alias("_lo"))
-        .withColumn("_earlier", F.last("_hi", ignorenulls=True).over(
-            across.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_later", F.first("_lo", ignorenulls=True).over(
-            across.rowsBetween(1, Window.unboundedFollowing)))
+        .withColumn("_earlier", F.last("_hi", ignorenulls=True).over(earlier))
+        .withColumn("_later", F.last("_lo", ignorenulls=True).over(later))
         .select(F.col(key).alias("_key"), F.col(chunk).alias("_key_chunk"),
                 F.col("_earlier._value").alias("_carry_before"), F.col("_later._value").alias("_carry_after")))
     return (

@@ -26,14 +26,18 @@ def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
 
 
 def match_rate(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFrame:
-    """Rows of ``df`` with and without a partner, and their shares (one pass).
+    """Rows of ``df`` with and without a partner, and their shares.
 
-    The partner keys are made distinct first, so the left join keeps the row count.
+    Both sides are reduced to one row per key first, so a key with very many rows
+    joins like any other.
     """
+    counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     partners = other.select(F.col(other_key).alias("_partner")).distinct()
+    matched = F.when(F.col("_partner").isNotNull(), F.col("_n")).otherwise(0)
+    zero = F.lit(0).cast("bigint")
     return (
-        df.join(partners, F.col(key) == F.col("_partner"), "left")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.count("_partner").alias("n_matched"))
+        counts.join(partners, F.col("_key") == F.col("_partner"), "left")
+        .agg(F.coalesce(F.sum("_n"), zero).alias("n_rows"), F.coalesce(F.sum(matched), zero).alias("n_matched"))
         .withColumn("n_orphan", F.col("n_rows") - F.col("n_matched"))
         .withColumn("orphan_rate", ratio(F.col("n_orphan"), F.col("n_rows")))
         .withColumn("coverage_rate", ratio(F.col("n_matched"), F.col("n_rows"))))

@@ -56,7 +56,7 @@ class Expressions:
     assigned: str = field(init=False)
 
     def __post_init__(self):
-        self.k = self.d.json_k
+        self.k = "k"  # parsed once per row
         self.happened = self.d.add_days.format(t="ts", n=f"5 * {self.k}")
         self.assigned = self.d.add_days.format(t="ts", n=f"3 * {self.k}")
 
@@ -267,7 +267,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         frames = []
         for b in parts:
             if b.table not in sources:
-                sources[b.table] = spark.read.parquet(f"{sf_dir}/{b.table}.parquet")
+                df = spark.read.parquet(f"{sf_dir}/{b.table}.parquet")
+                sources[b.table] = df.selectExpr("*", f"{SPARK.json_k} as k") if b.table == "events" else df
             df = sources[b.table].filter(b.where) if b.where else sources[b.table]
             frames.append(df.selectExpr(*[
                 f"cast({b.columns[f.name]} as {f.dataType.simpleString()}) as `{f.name}`" for f in schema]))
@@ -288,6 +289,7 @@ def duck_views() -> dict[str, str]:
             cols = ", ".join(
                 f"cast({b.columns[f.name]} as {_DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())})"
                 f" as {f.name}" for f in schema)
-            selects.append(f"select {cols} from {b.table}" + (f" where {b.where}" if b.where else ""))
+            source = f"(select *, {DUCK.json_k} as k from events)" if b.table == "events" else b.table
+            selects.append(f"select {cols} from {source}" + (f" where {b.where}" if b.where else ""))
         views[f"raw_{name}"] = " union all ".join(selects)
     return views

@@ -41,11 +41,12 @@ def tidy_sales(sheet: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Full rebuild of a table.
 
-    A partitioned table is rebalanced on its partition column first, so AQE
-    splits a hot partition value over several tasks and joins small ones.
+    A partitioned table is written from the tasks that computed it: at scale every task
+    fills large files per partition value, and the wide rows are not shuffled again.
+    Other tables are rebalanced to even files.
     """
     if partition_by:
-        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
         df.hint("rebalance").write.mode("overwrite").parquet(path)
 
