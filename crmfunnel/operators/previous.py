@@ -12,28 +12,23 @@ def with_previous_time(df: DataFrame, keys: Sequence[str], at: str, tie: str, ou
                        bucket: str = "hour") -> DataFrame:
     """Add ``out`` = ``at`` of the preceding row of the same keys, ordered by (at, tie).
 
-    Rows are windowed per (keys, time bucket).  The first row of a bucket takes the
-    last time of the key's preceding non-empty bucket, found on the pre-aggregated
-    buckets.  So a key with very many rows is spread over its buckets, and the only
-    group that spans a key holds one row per bucket.  NULL keys form one group, as
-    in a plain window.
+    Rows are windowed per (keys, time bucket).  The last time before a bucket is found
+    on the rows reduced to one per bucket and enters the window as an extra row, which
+    sorts first because it lies before the bucket.  So a key with very many rows is
+    spread over its buckets, the only group that spans a key holds one row per bucket,
+    and the rows are shuffled once.  NULL keys form one group, as in a plain window.
     """
-    chunk, last = "_chunk", "_last"
+    chunk, last, carried = "_chunk", "_last", "_carried"
     rows = df.withColumn(chunk, F.date_trunc(bucket, F.col(at)))
-    inside = Window.partitionBy(*keys, chunk).orderBy(at, tie)
-    rows = rows.withColumn(out, F.lag(at).over(inside))
-
     across = Window.partitionBy(*keys).orderBy(chunk)
-    carried = (
-        df.withColumn(chunk, F.date_trunc(bucket, F.col(at)))
-        .groupBy(*keys, chunk).agg(F.max(at).alias(last))
-        .withColumn("_carry", F.lag(last).over(across))
-        .filter(F.col("_carry").isNotNull())
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(chunk).alias("_k_chunk"), "_carry")
-    )
-    same = F.col(chunk).eqNullSafe(F.col("_k_chunk"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return (rows.join(carried, same, "left")
-            .withColumn(out, F.coalesce(out, "_carry"))
+    before = (
+        rows.groupBy(*keys, chunk).agg(F.max(at).alias(last))
+        .withColumn(at, F.lag(last).over(across))
+        .filter(F.col(at).isNotNull())
+        .select(*keys, chunk, at, F.lit(True).alias(carried)))
+    inside = Window.partitionBy(*keys, chunk).orderBy(at, tie)
+    return (rows.withColumn(carried, F.lit(False))
+            .unionByName(before, allowMissingColumns=True)
+            .withColumn(out, F.lag(at).over(inside))
+            .filter(~F.col(carried))
             .select(*df.columns, out))

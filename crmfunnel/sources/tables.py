@@ -65,10 +65,12 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests) a temporary folder is taken.
+    Only a local session that names none (tests) gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="crmfunnel-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

@@ -70,7 +70,7 @@ add("r09_month_compare", lambda e: reports.month_compare(e.fact, MONTH, YEAR),
           ifnull(max(case when m = {MONTH - 1} then v end), 0) as prior from (
           unpivot (select activity_month as m, cast({LEADS} as double) as Leads, cast({DEMOS} as double) as Demos_SE,
             cast({DONE} as double) as Demos_Completed, cast({ENROLLS} as double) as Enrolls,
-            cast({SAME} as double) as Same_Month_Enrolls, cast({SALES} as double) as Total_Sale_Value
+            cast({SAME} as double) as Same_Month_Enrolls, ifnull(cast({SALES} as double), 0) as Total_Sale_Value
             from f_fact where activity_year = {YEAR} and activity_month in ({MONTH - 1}, {MONTH}) group by 1)
           on Leads, Demos_SE, Demos_Completed, Enrolls, Same_Month_Enrolls, Total_Sale_Value into name metric value v)
         group by 1)""")
@@ -255,9 +255,10 @@ add("a05_value_distribution", lambda e: audits.value_distribution(e.raw["call"],
 add("a06_revenue_reconciliation", lambda e: audits.revenue_reconciliation(e.raw["sales"], e.fact),
     f"""select definition, amount, round(cast(amount as double) / cast(first_value(amount) over (order by i) as double), 6)
           as share_of_booked from (
-        select 0 as i, 'booked' as definition, cast(sum(sale_value) as decimal(38,2)) as amount from raw_sales
+        select i, definition, cast(ifnull(total, 0) as decimal(38,2)) as amount from (
+        select 0 as i, 'booked' as definition, sum(sale_value) as total from raw_sales
         union all select 1, 'all_rows', sum(sale_value) from f_fact
         union all select 2, 'enrolled_rows', sum(sale_value) from f_fact where Is_Valid_Enroll = 1
         union all select 3, 'enrolled_captures', sum(sale_value) from f_fact where Is_Valid_Enroll = 1 and {CAP}
         union all select 4, 'max_per_lead_month', sum(v) from (select max(sale_value) as v from f_fact
-          where Is_Valid_Enroll = 1 group by activity_month_start, lead_id))""")
+          where Is_Valid_Enroll = 1 group by activity_month_start, lead_id)))""")
