@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import email_key
 from ..operators.distinct import ratio
 
 
@@ -76,3 +77,16 @@ def revenue_per_lead_month(fact: DataFrame) -> DataFrame:
     """Revenue without inflation: the highest value per lead and month."""
     return (fact.filter(F.col("Is_Valid_Enroll") == 1)
             .groupBy("activity_month_start", "lead_id").agg(F.max("sale_value").alias("sale")))
+
+
+def sales_per_lead(leads: DataFrame, sales: DataFrame) -> DataFrame:
+    """Sales of each lead by normalised address.
+
+    Sales are reduced per address before the join, so an address shared by many leads
+    and many sales does not multiply.
+    """
+    per_buyer = sales.groupBy(email_key(F.col("lead_email")).alias("buyer")).agg(
+        F.count(F.lit(1)).alias("n_sales"), F.min("sale_date").alias("first_sale_date"),
+        F.max("sale_date").alias("last_sale_date"), F.sum("sale_value").alias("booked"))
+    return (leads.select("id", email_key(F.col("email_address")).alias("buyer")).join(per_buyer, "buyer")
+            .select("id", "n_sales", "first_sale_date", "last_sale_date", "booked"))

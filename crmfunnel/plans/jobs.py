@@ -36,7 +36,8 @@ def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: Fa
     checks.source_gate(t["activity_base"], "created_at", as_of, max_lag_days)
     folder = f"{shared_dir(spark)}/rebuild-{spark.sparkContext.applicationId}"
     stream = staged(prep.activity_with_source(t), "activity_stream", folder)
-    leads = staged(prep.unified_leads(t), "leads", folder)
+    active = staged(prep.active_prospects(stream, t["call"]), "active_prospects", folder)
+    leads = staged(prep.unified_leads(prep.only_active(t, active)), "leads", folder)
     builds: dict[str, Callable[[], DataFrame]] = {
         "activity_fact": lambda: activity_fact(stream, leads, t, opt),
         "call_fact": lambda: call_fact(prep.call_detail(t), leads, t, opt.site),

@@ -22,8 +22,8 @@ ASSIGNMENT_ONLY = [
 def unified_activity(t: Tables) -> DataFrame:
     """Activities with decoded type and the owner from the extension.
 
-    Activities of an unknown type drop out.  The extension is a left join, so its
-    orphan rows never leave the shuffle; a runtime bloom filter can drop them earlier.
+    Activities of an unknown type drop out.  Of the extension, mostly orphan rows, only
+    four columns are read.
     """
     base = t["activity_base"].select(
         F.col("id").alias("activity_id"), "prospect_id", "type_id", "event_id", "created_at", "updated_at",
@@ -41,6 +41,25 @@ def unified_activity(t: Tables) -> DataFrame:
     return base.join(kinds, "type_id").join(extension, "activity_id", "left").select(*ordered)
 
 
+def active_prospects(stream: DataFrame, calls: DataFrame) -> DataFrame:
+    """Prospects with an activity or a call, one row each."""
+    return (stream.select("prospect_id").unionAll(calls.select("prospect_id"))
+            .filter(F.col("prospect_id").isNotNull()).distinct())
+
+
+def only_active(t: Tables, active: DataFrame) -> dict[str, DataFrame]:
+    """Raw tables whose lead tables are cut to active prospects.
+
+    Few of all leads are ever active, and the facts read no other.  Where the active ids
+    are small, Spark's size check makes the semi-joins broadcast joins, and the bulk of
+    the lead tables is dropped in its scan stage.
+    """
+    keys = {"leads": "id", "lead_extension": "prospect_id", "lead_star": "id"}
+    return dict(t) | {
+        name: t[name].join(active.select(F.col("prospect_id").alias(key)), key, "left_semi")
+        for name, key in keys.items()}
+
+
 def star_ranks(t: Tables, *, dedupe: bool = False) -> DataFrame:
     """Current star rank per lead; ``dedupe`` keeps the highest label of each lead."""
     stars = t["lead_star"].select("id", F.col("latest_star_rank").alias("lead_star_rank"))

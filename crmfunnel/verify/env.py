@@ -48,7 +48,9 @@ class Env:
 
     @cached_property
     def staged_leads(self) -> DataFrame:
-        return self._stored("leads", lambda: self.leads)
+        """The lead view of active prospects; the facts read no other leads."""
+        active = self._stored("active_prospects", lambda: prep.active_prospects(self.staged_stream, self.raw["call"]))
+        return self._stored("leads", lambda: prep.unified_leads(prep.only_active(self.raw, active)))
 
     @cached_property
     def rows(self) -> DataFrame:

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import email_key
 from ..operators.distinct import conditional_distinct, conditional_distinct_with_total
 from ..operators.previous import with_previous_time
 from ..plans import activity_fact as facts
-from ..plans import audits, dims, extras, measures, prep, reports
-from . import oracle
+from ..plans import audits, dims, measures, prep, reports
 from .registry import add, add_columns
 
 # --- joins ------------------------------------------------------------------
@@ -24,12 +22,10 @@ add_columns("j05_activity_message", lambda e: e.stream, "activity_id lc_source l
 add_columns("j06_call_completed_event", lambda e: prep.calls_with_event(e.raw),
             "call_id call_duration_sec status1 status2 dialstatus caller_phone receiver_phone", "v_call_event")
 add_columns("j07_activity_lead", lambda e: e.build(), "activity_id prospect_id lead_id first_name email_address", "f_fact")
-add("j08_lead_sale",
-    lambda e: (e.leads.select("id", email_key(F.col("email_address")).alias("mail"))
-               .join(e.raw["sales"].withColumn("mail", email_key(F.col("lead_email"))), "mail")
-               .select("id", "sale_date", "sale_value")),
-    """select l.id, s.sale_date, s.sale_value from v_leads l join raw_sales s
-       on lower(trim(s.lead_email)) = lower(trim(l.email_address))""")
+add("j08_lead_sale", lambda e: audits.sales_per_lead(e.leads, e.raw["sales"]),
+    """select l.id, count(*) as n_sales, min(s.sale_date) as first_sale_date, max(s.sale_date) as last_sale_date,
+       cast(sum(s.sale_value) as decimal(28,2)) as booked from v_leads l join raw_sales s
+       on lower(trim(s.lead_email)) = lower(trim(l.email_address)) group by 1""")
 add_columns("j09_first_capture_of_month", lambda e: e.build(),
             "activity_id first_lead_capture_source_of_month first_capture_date_of_month", "f_fact")
 add_columns("j10_last_capture", lambda e: e.build(),
