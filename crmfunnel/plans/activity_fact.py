@@ -157,20 +157,19 @@ def _people(users: DataFrame, role: str, opt: FactOptions) -> DataFrame:
     name = lenient_name if opt.lenient_names else strict_name
     return users.select(
         F.col("id").alias(f"{role}_key"), name(F.col("first_name"), F.col("last_name")).alias(f"{role}_name"),
-        F.col("email").alias(f"{role}_email"), F.lower("email").alias(f"{role}_mail"),
+        F.col("email").alias(f"{role}_email"), F.lower("email").alias("_mail"),
         *[F.col(c).alias(f"{role}_{c}") for c in ("dm", "rsm", "ad", "region")])
 
 
-def _tiers(tiers: DataFrame, role: str) -> DataFrame:
-    return tiers.select(F.lower("email").alias(f"{role}_mail"), F.col("tier").alias(f"{role}_tier"),
-                        F.col("status").alias(f"{role}_status"))
-
-
 def with_owner(df: DataFrame, key: str, role: str, t: Tables, opt: FactOptions) -> DataFrame:
-    """Resolve a user id to name, e-mail, hierarchy ids and tier (columns ``role_*``)."""
-    people = _people(t["user"], role, opt)
-    return (df.join(people, F.col(key) == F.col(f"{role}_key"), "left")
-            .join(_tiers(t["owner_tier"], role), f"{role}_mail", "left"))
+    """Resolve a user id to name, e-mail, hierarchy ids and tier (columns ``role_*``).
+
+    The tier attaches to the users first, so ``df`` is joined once.
+    """
+    tiers = t["owner_tier"].select(F.lower("email").alias("_mail"), F.col("tier").alias(f"{role}_tier"),
+                                   F.col("status").alias(f"{role}_status"))
+    people = _people(t["user"], role, opt).join(tiers, "_mail", "left").drop("_mail")
+    return df.join(people, F.col(key) == F.col(f"{role}_key"), "left")
 
 
 def lead_months(rows: DataFrame, leads: DataFrame, t: Tables, opt: FactOptions = FactOptions()) -> DataFrame:
