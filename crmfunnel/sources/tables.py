@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,12 +64,9 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate tables: ``spark.checkpoint.dir``.
 
-    Only a local session that names none (tests) gets a temporary folder.
+    Where that is unset, a folder in the warehouse, which executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="crmfunnel-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
     return configured.rstrip("/")

@@ -7,10 +7,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from crmfunnel import verify
 from crmfunnel.verify.compare import connect, difference
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = verify.queries(), verify.oracle_sql()
 
 
 @pytest.fixture(scope="module")
