@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import mixing, packing, secret_scan
+from . import ann, chat, mixing, packing, pii, secret_scan, topk, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PII_KEY = "corpus-2024"
 
 
 def op3_packing(spark, sf_dir):
@@ -19,9 +20,56 @@ def op4_secrets(spark, sf_dir):
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op5_chat(spark, sf_dir):
+    return chat.repair(table(spark, sf_dir, "conversations"))
+
+
 def op6_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_secrets, op6_mixing)}
-ORACLE_SQL: dict[str, str] = {}
+def op7_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), 5, 50)
+
+
+def op8_warc(spark, sf_dir):
+    """Records of all pages against a replica in which known records were changed or lost, on either side."""
+    written = warc.records(table(spark, sf_dir, "pages"))
+    key = F.col("record_id")
+    first = written.filter(F.coalesce(key % 103, F.lit(0)) != 5)
+    torn = F.encode(F.overlay(F.decode("record", "ISO-8859-1"), F.lit("#"), F.col("length").cast("int") - 4), "ISO-8859-1")
+    second = written.filter(F.coalesce(key % 101, F.lit(0)) != 7).withColumn(
+        "record", F.when(key % 97 == 13, torn).otherwise(F.col("record")))
+    return warc.audit(first, second).select("record_id", "kind")
+
+
+def op9_pii(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op10_topk(spark, sf_dir):
+    return topk.top_products(table(spark, sf_dir, "embeddings"), 10, 100)
+
+
+QUERIES = {f.__name__: f for f in (op3_packing, op4_secrets, op5_chat, op6_mixing, op7_ann, op8_warc, op9_pii, op10_topk)}
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        select page_id as record_id,
+               case when page_id % 103 = 5 then 'added' when page_id % 101 = 7 then 'lost' else 'changed' end as kind
+        from pages
+        where (page_id % 103 = 5) <> (page_id % 101 = 7)
+           or (page_id % 97 = 13 and page_id % 103 <> 5 and page_id % 101 <> 7)""",
+    "op10_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, x -> floor(1024 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(embedding) > 0
+              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        s as (
+            select q.vec_id as query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+            from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+        select query_id, rank::int as rank, vec_id, score from r where rank <= 10""",
+}

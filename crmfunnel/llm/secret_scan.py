@@ -160,6 +160,9 @@ def digest(scanned: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
     """Counts of the base kinds and the digest of their spans."""
     kinds = [r.kind for r in base]
     own = F.filter("spans", lambda s: s["kind"].isin(kinds))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
-    return scanned.select("doc_id", *counts, F.sha2(_joined(own), 256).alias("base_sha256"),
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return scanned.select("doc_id", *[count(k) for k in kinds], F.sha2(_joined(own), 256).alias("base_sha256"),
                           _joined(F.col("spans")).alias("spans"))
