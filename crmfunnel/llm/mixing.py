@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stage, word_count
+from .common import WORD, stage, word_count
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -92,3 +92,37 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
     return placed.select(
         "doc_id", "source", "size", "source_size", "target",
         (epochs * F.col("size") + _within(F.col("size"), F.col("before"), rest)).cast("long").alias("taken"))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 17,
+          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", length_col: str | None = None) -> DataFrame:
+    """The mix itself, with the columns of ``docs``: a row for each time a document is taken, whole or in part.
+
+    Of the document at which a source's budget is cut the first words are taken, joined by blanks; its length
+    in ``length_col`` is kept up.  Rows with equal id, source and size share what is taken of them evenly.
+    """
+    names = docs.columns
+    text = F.col(f"`{text_col}`")
+    taken = (mix(docs, weights, share, repeats, seed, id_col, text_col, source_col)
+             .groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"))
+             .agg(F.floor(F.sum("taken") / F.count("*")).cast("long").alias("m_taken")).filter("m_taken > 0"))
+    rows = docs.select(F.struct("*").alias("d"), word_count(text).alias("size"), F.col(f"`{id_col}`").alias("id"),
+                       F.col(f"`{source_col}`").alias("source"))
+    rows = rows.join(taken, rows["id"].eqNullSafe(taken["m_id"]) & rows["source"].eqNullSafe(taken["m_source"])
+                     & (rows["size"] == taken["m_size"]))
+    times = F.ceil(F.col("m_taken") / F.col("size"))
+    rows = rows.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    words = F.least(F.col("size"), F.col("m_taken") - (F.col("turn") - 1) * F.col("size")).cast("int")
+    whole = F.col("d").getField(text_col)
+    part = F.array_join(F.slice(F.regexp_extract_all(whole, F.lit(WORD), F.lit(0)), F.lit(1), words), " ")
+    cut = words < F.col("size")
+    rows = rows.withColumn("text", F.when(cut, part).otherwise(whole))
+    out = []
+    for name in names:
+        value = F.col("d").getField(name)
+        if name == text_col:
+            value = F.col("text")
+        elif name == length_col:
+            value = F.when(cut, F.length("text").cast(docs.schema[name].dataType)).otherwise(value)
+        out.append(value.alias(name))
+    return rows.select(*out)

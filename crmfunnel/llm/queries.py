@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, packing, pii, secret_scan, topk, warc
+from . import ann, chat, mixing, ngram_join, packing, pii, quality, secret_scan, topk, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PII_KEY = "corpus-2024"
 
 
+def op1_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -51,7 +60,8 @@ def op10_topk(spark, sf_dir):
     return topk.top_products(table(spark, sf_dir, "embeddings"), 10, 100)
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op4_secrets, op5_chat, op6_mixing, op7_ann, op8_warc, op9_pii, op10_topk)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op3_packing, op4_secrets, op5_chat, op6_mixing, op7_ann, op8_warc, op9_pii, op10_topk)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL: dict[str, str] = {
     "op8_warc": """
@@ -62,13 +72,13 @@ ORACLE_SQL: dict[str, str] = {
            or (page_id % 97 = 13 and page_id % 103 <> 5 and page_id % 101 <> 7)""",
     "op10_topk": """
         with v as (
-            select vec_id, list_transform(embedding, x -> floor(1024 * x::double)::bigint) as v
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
             from embeddings
             where embedding is not null and len(embedding) > 0
-              and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         s as (
             select q.vec_id as query_id, c.vec_id,
-                   list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+                   list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
             from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)),
         r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         select query_id, rank::int as rank, vec_id, score from r where rank <= 10""",

@@ -152,6 +152,35 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str =
     return text_of(docs, id_col, text_col).mapInPandas(lazily(_scan, rules), f"doc_id long, spans {SPANS}")
 
 
+def masked(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with each span, or run of overlapping spans, replaced by the kind of its first."""
+    out, at, done = [], 0, -1
+    for kind, start, end in spans:
+        if start >= done:
+            out += [text[at:start], f"[{kind}]"]
+        done = at = max(done, end)
+    return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """All rows with all columns; secrets in the text are masked, and its length in ``length_col`` is kept up."""
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        # null where nothing was found: such texts don't travel back
+        found = [spans_of(t, rules) for t in texts]
+        return pd.Series([masked(t, s) if s else None for t, s in zip(texts, found, strict=True)], dtype=object)
+
+    text = F.col(f"`{text_col}`")
+    fresh = "__masked"
+    while fresh in docs.columns:
+        fresh += "_"
+    out = docs.withColumn(fresh, clean(F.coalesce(text, F.lit(""))))
+    if length_col:
+        out = out.withColumn(length_col, F.when(F.col(fresh).isNotNull(), F.length(fresh).cast(docs.schema[length_col].dataType))
+                             .otherwise(F.col(f"`{length_col}`")))
+    return out.withColumn(text_col, F.coalesce(F.col(fresh), text)).drop(fresh)
+
+
 def _joined(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
