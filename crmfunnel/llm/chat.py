@@ -24,6 +24,7 @@ The rows of one (conversation, turn number) are held together.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Iterator
 
@@ -145,32 +146,39 @@ def render(texts: list[str], steps: list, entry: int, last: bool, leave: int) ->
     return {"rendered": "".join(out), **counts}
 
 
-def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Runs of equal keys of sorted rows, also across batches."""
-    held = None
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, list]]:
+    """Runs of equal keys of sorted rows, also across batches, as lists by column."""
+    held: dict[str, list] | None = None
     for pdf in batches:
+        columns = {c: pdf[c].tolist() for c in pdf.columns}
         if held is not None:
-            pdf = pd.concat([held, pdf], ignore_index=True)
-        if not len(pdf):
+            columns = {c: held[c] + columns[c] for c in columns}
+        rows = list(zip(*(columns[k] for k in keys), strict=True))
+        if not rows:
             continue
-        codes = pdf[keys].to_numpy()
-        cuts = [0, *(np.flatnonzero((codes[1:] != codes[:-1]).any(1)) + 1), len(pdf)]
-        for a, b in zip(cuts[:-2], cuts[1:-1], strict=True):
-            yield pdf.iloc[a:b]
-        held = pdf.iloc[cuts[-2]:]
+        begin = 0
+        for i in range(1, len(rows)):
+            if rows[i] != rows[i - 1]:
+                yield {c: v[begin:i] for c, v in columns.items()}
+                begin = i
+        held = {c: v[begin:] for c, v in columns.items()}
     if held is not None:
         yield held
 
 
 _SUMMARY = "conv_id long, segment long, turns int, product array<double>"
-_ENDS = "conv_id long, segment long, turns int, entry int, leave int, last boolean, cost double"
+_ENDS = "conv_id long, segment long, entry int, leave int, last boolean, cost double"
 _PARTS = ("conv_id long, part long, turns int, merged int, relabelled int, inserted int, cost double, rendered string")
 
 
+@functools.lru_cache(maxsize=65536)
+def _short_product(roles: tuple[int, ...]) -> list[float]:
+    return product_of(list(roles)).ravel().tolist()
+
+
 def _summarise(batches):
     for g in _groups(batches, ["conv_id", "segment"]):
-        yield pd.DataFrame([[g["conv_id"].iloc[0], g["segment"].iloc[0], len(g), product_of(g["role"].tolist()).ravel()]],
-                           columns=["conv_id", "segment", "turns", "product"])
+        yield (g["conv_id"][0], g["segment"][0], len(g["role"]), _short_product(tuple(g["role"])))
 
 
 def _ends(batches):
@@ -180,56 +188,43 @@ def _ends(batches):
         for m in products:
             costs.append((costs[-1][:, None] + m).min(0))
         t = int((costs[-1] + FINISH).argmin())
-        entry, leave = [0] * len(products), [0] * len(products)
+        out = []
         for i in range(len(products) - 1, -1, -1):
-            leave[i] = t
-            t = entry[i] = int((costs[i] + products[i][:, t]).argmin())
-        last = [i == len(products) - 1 for i in range(len(products))]
-        cost = [products[i][entry[i], leave[i]] + (FINISH[leave[i]] if last[i] else 0) for i in range(len(products))]
-        yield g[["conv_id", "segment", "turns"]].assign(entry=entry, leave=leave, last=last, cost=cost)
-
+            leave, last = t, i == len(products) - 1
+            t = int((costs[i] + products[i][:, leave]).argmin())
+            out.append((g["conv_id"][0], g["segment"][i], t, leave, last,
+                        float(products[i][t, leave] + (FINISH[leave] if last else 0))))
+        yield from out
 
-def _row(g: pd.DataFrame, entry: int, leave: int, last: bool, cost: float, conv_id, segment) -> list:
-    roles = g["role"].tolist()
-    made = render(g["text"].tolist(), trace(roles, entry, leave), entry, last, leave)
-    return [conv_id, segment, len(g), made["merged"], made["relabelled"], made["inserted"], cost, made["rendered"]]
 
-
-_COLUMNS = ["conv_id", "part", "turns", "merged", "relabelled", "inserted", "cost", "rendered"]
+def _row(texts: list[str], roles: list[int], entry: int, leave: int, last: bool, cost: float, conv_id, segment) -> tuple:
+    made = render(texts, trace(roles, entry, leave), entry, last, leave)
+    return (conv_id, segment, len(roles), made["merged"], made["relabelled"], made["inserted"], cost, made["rendered"])
 
 
 def _parts(batches):
     for g in _groups(batches, ["conv_id", "segment"]):
-        first = g.iloc[0]
-        yield pd.DataFrame([_row(g, int(first["entry"]), int(first["leave"]), bool(first["last"]), float(first["cost"]),
-                                 first["conv_id"], first["segment"])], columns=_COLUMNS)
+        yield _row(g["text"], g["role"], g["entry"][0], g["leave"][0], g["last"][0], g["cost"][0], g["conv_id"][0], g["segment"][0])
 
 
 def _alone(batches):
     for pdf in batches:
-        rows = []
-        for i in range(len(pdf)):
-            g = pdf.iloc[i:i + 1]
-            costs = MATRICES[int(g["role"].iloc[0])][START] + FINISH
+        for role, text in zip(pdf["role"], pdf["text"], strict=True):
+            costs = MATRICES[role][START] + FINISH
             leave = int(costs.argmin())
-            rows.append(_row(g, START, leave, True, float(costs[leave]), None, 0))
-        frame = pd.DataFrame(rows, columns=_COLUMNS)
-        yield frame.assign(conv_id=frame["conv_id"].astype("Int64"))
+            yield _row([text], [role], START, leave, True, float(costs[leave]), None, 0)
 
 
-def _batched(frames, size: int = 2000):
-    held: list[pd.DataFrame] = []
-    for f in frames:
-        held.append(f)
-        if len(held) == size:
-            yield pd.concat(held, ignore_index=True)
-            held = []
-    if held:
-        yield pd.concat(held, ignore_index=True)
+def _run(batches, fn, columns: list[str], size: int = 4000):
+    rows = fn(batches)
+    while batch := list(itertools.islice(rows, size)):
+        frame = pd.DataFrame(batch, columns=columns)
+        yield frame.assign(conv_id=frame["conv_id"].astype("Int64"))
 
 
-def _run(batches, fn):
-    return _batched(fn(batches))
+def _with(fn, schema: str) -> tuple:
+    columns = [c.split()[0] for c in schema.split(", ")]
+    return lazily(_run, fn, columns), schema
 
 
 def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -248,10 +243,12 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     order = ["conv_id", "segment", "turn", "role"]
     tie = F.xxhash64("text")
     summary = (known.withColumn("tie", tie).drop("text").repartition("conv_id", "segment")
-               .sortWithinPartitions(*order, "tie").mapInPandas(lazily(_run, _summarise), _SUMMARY))
-    ends = stage(summary.repartition("conv_id").sortWithinPartitions("conv_id", "segment")
-                 .mapInPandas(lazily(_run, _ends), _ENDS), "ends")
-    parts = (known.withColumn("tie", tie).join(ends.drop("turns"), ["conv_id", "segment"])
-             .sortWithinPartitions(*order, "tie").mapInPandas(lazily(_run, _parts), _PARTS))
-    alone = rows.filter(F.col("conv_id").isNull()).mapInPandas(_alone, _PARTS)
+               .sortWithinPartitions(*order, "tie").mapInPandas(*_with(_summarise, _SUMMARY)))
+    # a fixed number of tasks: these rows are few bytes but not little work
+    tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = stage(summary.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "segment")
+                 .mapInPandas(*_with(_ends, _ENDS)), "ends")
+    parts = (known.withColumn("tie", tie).join(ends, ["conv_id", "segment"])
+             .sortWithinPartitions(*order, "tie").mapInPandas(*_with(_parts, _PARTS)))
+    alone = rows.filter(F.col("conv_id").isNull()).mapInPandas(*_with(_alone, _PARTS))
     return parts.unionByName(alone)
