@@ -204,7 +204,9 @@ def _row(texts: list[str], roles: list[int], entry: int, leave: int, last: bool,
 
 def _parts(batches):
     for g in _groups(batches, ["conv_id", "segment"]):
-        yield _row(g["text"], g["role"], g["entry"][0], g["leave"][0], g["last"][0], g["cost"][0], g["conv_id"][0], g["segment"][0])
+        roles = [int(r) for r in g["role"][1:]]
+        yield _row(g["text"][1:], roles, int(g["entry"][0]), int(g["leave"][0]), bool(g["last"][0]), g["cost"][0],
+                   g["conv_id"][0], g["segment"][0])
 
 
 def _alone(batches):
@@ -248,7 +250,10 @@ def repair(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     tasks = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ends = stage(summary.repartition(tasks, "conv_id").sortWithinPartitions("conv_id", "segment")
                  .mapInPandas(*_with(_ends, _ENDS)), "ends")
-    parts = (known.withColumn("tie", tie).join(ends, ["conv_id", "segment"])
-             .sortWithinPartitions(*order, "tie").mapInPandas(*_with(_parts, _PARTS)))
+    # the states at a segment's ends come as a row before its turns: one shuffle brings both together
+    states = ends.select("conv_id", "segment", F.lit(0).alias("follows"), "entry", "leave", "last", "cost")
+    parts = (known.select("*", tie.alias("tie"), F.lit(1).alias("follows")).unionByName(states, allowMissingColumns=True)
+             .repartition("conv_id", "segment").sortWithinPartitions("conv_id", "segment", "follows", "turn", "role", "tie")
+             .mapInPandas(*_with(_parts, _PARTS)))
     alone = rows.filter(F.col("conv_id").isNull()).mapInPandas(*_with(_alone, _PARTS))
     return parts.unionByName(alone)

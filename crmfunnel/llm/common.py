@@ -47,9 +47,21 @@ def clean() -> None:
             return
 
 
+#: Rows of text that are handed to Python at once.
+BATCH_ROWS = "1000"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Texts are long: a session that has Spark's default of 10,000 rows a batch gets batches of 1,000."""
+    if df.sparkSession.conf.get(_BATCH) == "10000":
+        df.sparkSession.conf.set(_BATCH, BATCH_ROWS)
+    return df
+
+
 def text_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator reads, under names of its own; a missing text is empty."""
-    return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    return small_batches(df).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import compile_rules, dead_states, rows_of
-from .common import lazily, text_of
+from .common import lazily, small_batches, text_of
 
 
 @dataclass(frozen=True)
@@ -174,7 +174,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
     fresh = "__masked"
     while fresh in docs.columns:
         fresh += "_"
-    out = docs.withColumn(fresh, clean(F.coalesce(text, F.lit(""))))
+    out = small_batches(docs).withColumn(fresh, clean(F.coalesce(text, F.lit(""))))
     if length_col:
         out = out.withColumn(length_col, F.when(F.col(fresh).isNotNull(), F.length(fresh).cast(docs.schema[length_col].dataType))
                              .otherwise(F.col(f"`{length_col}`")))
