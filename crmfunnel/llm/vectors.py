@@ -99,7 +99,7 @@ def top_of(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, objec
             scores, ids = scores[keep], ids[keep]
     out: list[tuple[int, object]] = []
     seen: set[int] = set()
-    for i in np.lexsort((ids, -scores)):
+    for i in np.lexsort((-ids, scores))[::-1]:
         if ids[i] not in seen:
             seen.add(int(ids[i]))
             out.append((int(ids[i]), scores[i]))

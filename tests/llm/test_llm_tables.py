@@ -63,9 +63,9 @@ def test_top_products_of_uneven_and_huge_vectors(spark):
     exact = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
     want = best_by(exact, 10, 100, lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)))
     assert {tuple(r) for r in topk.top_products(df, 10, 100).collect()} == want
-    far = spark.createDataFrame([(0, [1e300]), (100, [1e300]), (1, [-1e300])], "vec_id long, embedding array<double>")
+    far = spark.createDataFrame([(0, [1e300]), (100, [1e300]), (200, [-1e300])], "vec_id long, embedding array<double>")
     assert {(r.query_id, r.vec_id, r.score) for r in topk.top_products(far, 1, 100).collect()} == {
-        (0, 100, 2 ** 63 - 1), (100, 0, 2 ** 63 - 1)}
+        (0, 100, 2 ** 63 - 1), (100, 0, 2 ** 63 - 1), (200, 0, -2 ** 63)}
 
 
 def test_nearest(spark):
