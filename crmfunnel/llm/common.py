@@ -48,12 +48,12 @@ def clean() -> None:
 
 
 #: Rows of text that are handed to Python at once.
-BATCH_ROWS = "1000"
+BATCH_ROWS = "500"
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Texts are long: a session that has Spark's default of 10,000 rows a batch gets batches of 1,000."""
+    """Texts are long: a session that has Spark's default of 10,000 rows a batch gets batches of 500."""
     if df.sparkSession.conf.get(_BATCH) == "10000":
         df.sparkSession.conf.set(_BATCH, BATCH_ROWS)
     return df
