@@ -148,7 +148,6 @@ def month_compare(fact: DataFrame, month: int, year: int) -> DataFrame:
 
 # Statements an ad-hoc query may not contain.
 WRITE_KEYWORDS = ("INSERT UPDATE DELETE DROP ALTER CREATE TRUNCATE EXEC EXECUTE MERGE GRANT REVOKE").split()
-MAX_ROWS = 50_000
 
 
 def assert_read_only(text: str) -> None:
@@ -160,9 +159,10 @@ def assert_read_only(text: str) -> None:
 
 
 def ad_hoc(spark: SparkSession, text: str, tables: Mapping[str, DataFrame], args: Mapping | None = None,
-           max_rows: int = MAX_ROWS) -> DataFrame:
-    """Read-only SQL over named tables, with named parameters and a row cap."""
+           max_rows: int | None = None) -> DataFrame:
+    """Read-only SQL over named tables, with named parameters; all rows, unless the caller asks for fewer."""
     assert_read_only(text)
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text, args=dict(args or {})).limit(max_rows)
+    out = spark.sql(text, args=dict(args or {}))
+    return out if max_rows is None else out.limit(max_rows)

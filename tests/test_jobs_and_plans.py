@@ -159,3 +159,7 @@ def test_hot_lead_is_split_over_tasks(spark, raw):
         for k in settings:
             spark.conf.unset(k)
     assert rows[0] >= 12_000 and rows[1] >= 12_000 and rows[2] <= 20
+
+
+def test_ad_hoc_returns_all_rows_by_default(spark):
+    assert reports.ad_hoc(spark, "select id from many", {"many": spark.range(60_000)}).count() == 60_000
