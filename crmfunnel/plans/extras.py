@@ -18,7 +18,8 @@ DAY_BUCKETS = ((7, "0-7 days"), (14, "8-14 days"), (30, "15-30 days"), (60, "31-
 
 
 def day_bucket(days: Column) -> Column:
-    rules = [(label, days <= top) for top, label in DAY_BUCKETS]
+    """Bucket of a number of days; negative days have none."""
+    rules = [(label, (days >= 0) & (days <= top)) for top, label in DAY_BUCKETS]
     return first_match([*rules, ("60+ days", days > DAY_BUCKETS[-1][0])])
 
 
@@ -57,7 +58,7 @@ def sales_cycle(fact: DataFrame) -> DataFrame:
 
 
 def pipeline_ageing(fact: DataFrame, as_of_date) -> DataFrame:
-    """Age of each lead's latest completed demo, and whether the lead enrolled since."""
+    """Age of each lead's latest completed demo, and whether the lead has enrolled, before or after it."""
     latest = (fact.filter(is_demo_done() & F.col("lead_id").isNotNull())
               .groupBy("lead_id").agg(F.max(F.to_date("created_at")).alias("latest_demo"),
                                       F.min("enroll_date").alias("enroll_date")))
@@ -85,8 +86,11 @@ def cohort_lag(fact: DataFrame, dims: Sequence[str], months: int = 5) -> DataFra
     return conditional_distinct(fact, dims, "lead_id", flags)
 
 
-def weekly_cohorts(fact: DataFrame) -> DataFrame:
-    """Captured and enrolled leads by the week of their first capture."""
+def weekly_cohorts(fact: DataFrame, weeks: int = 5) -> DataFrame:
+    """Captured and enrolled leads by the week of their first capture.
+
+    Columns W0 to W(weeks - 1); earlier and later enrolments are counted in ``W_before`` and ``W_later``.
+    """
     per_lead = (
         fact.filter((F.col("activity_type_category") == "Lead Capture") & F.col("lead_id").isNotNull())
         .groupBy("lead_id").agg(F.min("created_at").alias("first_at"), F.min("enroll_date").alias("enroll_date")))
@@ -94,7 +98,8 @@ def weekly_cohorts(fact: DataFrame) -> DataFrame:
     lag = F.floor(F.date_diff("enroll_date", week) / 7)
     return (per_lead.groupBy(week.alias("cohort_week"))
             .agg(F.count(F.lit(1)).alias("leads"),
-                 *[F.count(F.when(lag == i, 1)).alias(f"W{i}") for i in range(5)]))
+                 *[F.count(F.when(lag == i, 1)).alias(f"W{i}") for i in range(weeks)],
+                 F.count(F.when(lag < 0, 1)).alias("W_before"), F.count(F.when(lag >= weeks, 1)).alias("W_later")))
 
 
 def daily_trend(fact: DataFrame) -> DataFrame:

@@ -57,7 +57,9 @@ class Expressions:
 
     def __post_init__(self):
         self.k = "k"  # parsed once per row
-        self.happened = self.d.add_days.format(t="ts", n=f"5 * {self.k}")
+        # every tenth user is silent for long stretches
+        self.happened = self.d.add_days.format(
+            t="ts", n=f"case when user_id % 10 = 0 then 150 * ({self.k} % 3) else 5 * {self.k} end")
         self.assigned = self.d.add_days.format(t="ts", n=f"3 * {self.k}")
 
     def later(self, t: str, seconds: str | int) -> str:
@@ -125,7 +127,7 @@ def branches(d: Dialect) -> dict[str, list[Branch]]:
 
     def extension(offset: int, where: str | None) -> Branch:
         return Branch("events", {
-            "related_activity_id": _text(f"event_id + {offset}"), "owner_id": _text("6 + event_id % 4"),
+            "related_activity_id": _text(f"event_id + {offset}"), "owner_id": _text(f"6 + (event_id + {k}) % 4"),
             "status": cycle("event_id", ["Active", None, "Inactive"]),
             "mx_custom39": f"case when event_id % 2 = 0 then concat('c', {k}) end"}, where)
 
@@ -185,22 +187,22 @@ def branches(d: Dialect) -> dict[str, list[Branch]]:
 
     assignment = Branch("events", {
         "id": _text("event_id + 10000000"), "prospect_id": _text("user_id"), "created_by_id": "'system'",
-        "selected_user_id": f"case when event_id % 9 <> 0 then {_text('6 + event_id % 4')} end",
+        "selected_user_id": f"case when event_id % 9 <> 0 then {_text(f'6 + (event_id + {k}) % 4')} end",
         "from_user_id": cycle("event_id", [None, "6", "7"]),
         "prospect_star_rank": cycle("event_id", ["FourStar", "ThreeStar", "TwoStar", "OneStar", None]),
         "selected_user_rank": cycle("event_id", ["FourStar", "TwoStar", None]),
         "assignment_type": cycle(k, ["New", "Others"]), "team_domain": cycle("event_id", ["mech", "ev", None]),
         "prospect_domain": cycle("event_id", ["mech", None]), "prospect_rank": "cast(null as string)",
         "current_stage": cycle("event_id", ["New", "Open"]), "created_at": x.assigned, "updated_at": x.assigned,
-        "priority_score1": f"cast({k} as decimal(18,6))", "priority_score2": "cast(null as decimal(18,6))",
+        "priority_score1": f"cast({k} * 37 % 101 as decimal(18,6))", "priority_score2": "cast(null as decimal(18,6))",
         "source_score": f"cast({k} % 10 as int)", "lead_type_score": f"cast({k} % 7 as int)",
-        "current_week_activity_score": f"cast({k} % 5 as int)"}, "event_id % 4 = 1")
+        "current_week_activity_score": f"cast({k} % 5 as int)"})
 
-    redial_at = x.later("ts", "3 + event_id % 6")
+    redial_at = x.later(happened, "3 + event_id % 6")
 
     def call(offset: int, at: str, manual: str, where: str) -> Branch:
         return Branch("events", {
-            "id": _text(f"event_id + {offset}"), "prospect_id": _text("user_id"), "user_id": _text("6 + event_id % 4"),
+            "id": _text(f"event_id + {offset}"), "prospect_id": _text("user_id"), "user_id": _text(f"6 + (event_id + {k}) % 4"),
             "call_status": CALL_STATUS, "direction": "'Outbound'", "original_call_status": CALL_STATUS,
             "comments": "cast(null as string)", "platform_type": cycle("event_id", ["web", "app"]),
             "created_at": at, "updated_at": at, "is_manual_call_done": manual}, where)
@@ -221,7 +223,7 @@ def branches(d: Dialect) -> dict[str, list[Branch]]:
         "sale_value": "cast(o_totalprice as decimal(18,2))",
         "sale_program": cycle("o_orderkey", ["Program A", "Program B", None]),
         "sale_ind_pg": "case when o_orderpriority = '1-URGENT' then 'PG' when o_orderpriority = '2-HIGH' "
-                       "then 'Combined Individual' else 'Individual Course' end"}, "o_orderkey % 7 = 0")
+                       "then 'Combined Individual' else 'Individual Course' end"})
 
     s = "s_suppkey"
     user_mail = f"concat('Owner', {s}, '@team.example')"
@@ -248,12 +250,12 @@ def branches(d: Dialect) -> dict[str, list[Branch]]:
             metadata("M", 1, "'stale'", signup + " and event_id % 7 = 0"),
             metadata("N", 62, "'facebook.com'", signup + " and event_id % 10 = 0")],
         "assignment_history": [assignment],
-        "call": [call(0, "ts", "event_id % 2 = 0", IS_CALL), call(20_000_000, redial_at, "false", IS_REDIAL)],
+        "call": [call(0, happened, "event_id % 2 = 0", IS_CALL), call(20_000_000, redial_at, "false", IS_REDIAL)],
         "call_event": [
-            call_event(0, "ts", "completed", IS_CALL),
+            call_event(0, happened, "completed", IS_CALL),
             call_event(20_000_000, redial_at, "completed", IS_REDIAL),
-            call_event(0, x.later("ts", -5), "completed", IS_CALL + " and event_id % 4 = 0", 50),
-            call_event(0, x.later("ts", 5), "answered", IS_CALL + " and event_id % 4 = 2", 90)],
+            call_event(0, x.later(happened, -5), "completed", IS_CALL + " and event_id % 4 = 0", 50),
+            call_event(0, x.later(happened, 5), "answered", IS_CALL + " and event_id % 4 = 2", 90)],
         "sales": [sale], "user": [user], "owner_tier": [tier],
     }
 

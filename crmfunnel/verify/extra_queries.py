@@ -17,7 +17,7 @@ DONE = "activity_type_category in ('Demo Completed - Webinars', 'SE Marked Demo
 
 def buckets(days: str) -> str:
     return (f"case when {days} > 60 then '60+ days' when {days} > 30 then '31-60 days' when {days} > 14 then '15-30 days' "
-            f"when {days} > 7 then '8-14 days' when {days} is not null then '0-7 days' end")
+            f"when {days} > 7 then '8-14 days' when {days} >= 0 then '0-7 days' end")
 
 
 add("e01_business_date",
@@ -55,7 +55,8 @@ add("e06_cohort_lag",
     lambda e: extras.cohort_lag(e.fact, ["activity_month_start", "source_attribution_final"]),
     f"""select activity_month_start, source_attribution_final, count(distinct case when {CAP} then lead_id end) as Leads,
         {_M} from f_fact group by 1, 2""")
-_W = ", ".join(f"count(case when lag = {i} then 1 end) as W{i}" for i in range(5))
+_W = ", ".join(f"count(case when lag = {i} then 1 end) as W{i}" for i in range(5)) + (
+    ", count(case when lag < 0 then 1 end) as W_before, count(case when lag > 4 then 1 end) as W_later")
 add("e06_weekly_cohorts", lambda e: extras.weekly_cohorts(e.fact),
     f"""select cohort_week, count(*) as leads, {_W} from (select *, floor((d - cohort_week) / 7.0) as lag from (
         select lead_id, cast(date_trunc('week', min(created_at)) as date) as cohort_week, any_value(enroll_date) as d
