@@ -86,7 +86,7 @@ def sales_per_lead(leads: DataFrame, sales: DataFrame) -> DataFrame:
     and many sales does not multiply.
     """
     per_buyer = sales.groupBy(email_key(F.col("lead_email")).alias("buyer")).agg(
-        F.count(F.lit(1)).alias("n_sales"), F.min("sale_date").alias("first_sale_date"),
-        F.max("sale_date").alias("last_sale_date"), F.sum("sale_value").alias("booked"))
+        F.count(F.lit(1)).alias("n_sales"), F.min(F.to_date("sale_date")).alias("first_sale_date"),
+        F.max(F.to_date("sale_date")).alias("last_sale_date"), F.sum("sale_value").alias("booked"))
     return (leads.select("id", email_key(F.col("email_address")).alias("buyer")).join(per_buyer, "buyer")
             .select("id", "n_sales", "first_sale_date", "last_sale_date", "booked"))

@@ -5,17 +5,21 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.session import tune
 from ..sources.tables import Tables, shared_dir, write_table
-from . import checks, prep
+from . import audits, checks, prep
 from .activity_fact import FactOptions, activity_fact
 from .call_fact import call_fact
 from .dims import user_hierarchy
 
 PARTITIONS = {"activity_fact": "activity_month_start", "call_fact": "call_month_start", "user": None}
+#: Keys that a build relies on; copies would multiply rows and sales.
+UNIQUE_KEYS = {"activity_extension": ["related_activity_id"], "user": ["id"], "owner_tier": ["email"]}
 
 
 def staged(df: DataFrame, name: str, folder: str) -> DataFrame:
@@ -34,6 +38,9 @@ def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: Fa
     """Rebuild the facts and the user dimension under ``out``; gives the post-check rows."""
     tune(spark)
     checks.source_gate(t["activity_base"], "created_at", as_of, max_lag_days)
+    for name, keys in UNIQUE_KEYS.items():
+        known = [F.col(k).isNotNull() for k in keys]
+        audits.assert_unique(t[name].filter(reduce(Column.__and__, known)), keys)
     folder = f"{shared_dir(spark)}/rebuild-{spark.sparkContext.applicationId}"
     stream = staged(prep.activity_with_source(t), "activity_stream", folder)
     active = staged(prep.active_prospects(stream, t["call"]), "active_prospects", folder)

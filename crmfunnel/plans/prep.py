@@ -154,12 +154,13 @@ def completed_events(t: Tables) -> DataFrame:
 def event_fields(payload) -> list:
     """Scalar fields of a call-event payload.
 
-    ``get_json_object`` gives NULL for malformed text; nested values come back as
-    their JSON text and are dropped, so only scalars pass.
+    ``get_json_object`` gives NULL for malformed text.  Nested values come back as their JSON text and
+    are dropped, so only scalars pass; a value that looks nested is parsed once more to tell it from a quoted text.
     """
     def scalar(path: str):
         value = F.get_json_object(payload, f"$.{path}")
-        return F.when(~value.rlike(r"(?s)^(\{.*\}|\[.*\])$"), value)
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(payload), f"$.{path}", "variant"))
+        return F.when(~value.rlike(r"(?s)^(\{.*\}|\[.*\])$"), value).when(kind == "STRING", value)
     fields = [scalar("duration").try_cast("int").alias("call_duration_sec")]
     fields += [scalar(p).alias(p) for p in ("status1", "status2", "dialstatus")]
     fields += [scalar(p).alias(f"{p}_phone") for p in ("caller", "receiver")]

@@ -76,7 +76,7 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
     "call_event": _ddl(
         ("string", "call_id event_type event_data"), ("timestamp_ntz", "created_at")),
     "sales": _ddl(
-        ("string", "lead_email"), ("date", "sale_date"), ("decimal(18,2)", "sale_value"),
+        ("string", "lead_email"), ("timestamp_ntz", "sale_date"), ("decimal(18,2)", "sale_value"),
         ("string", "sale_program sale_ind_pg")),
     "user": _ddl(
         ("string", "id first_name last_name email role region"),

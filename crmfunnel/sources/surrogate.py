@@ -219,7 +219,7 @@ def branches(d: Dialect) -> dict[str, list[Branch]]:
 
     sale = Branch("orders", {
         "lead_email": f"concat(' ', upper({EMAIL.format(key='o_custkey')}))",
-        "sale_date": x.day("2024-01-01", "o_orderkey % 500"),
+        "sale_date": x.later(f"cast({x.day('2024-01-01', 'o_orderkey % 500')} as {d.ntz})", "o_orderkey * 7919 % 86400"),
         "sale_value": "cast(o_totalprice as decimal(18,2))",
         "sale_program": cycle("o_orderkey", ["Program A", "Program B", None]),
         "sale_ind_pg": "case when o_orderpriority = '1-URGENT' then 'PG' when o_orderpriority = '2-HIGH' "

@@ -23,7 +23,7 @@ add_columns("j06_call_completed_event", lambda e: prep.calls_with_event(e.raw),
             "call_id call_duration_sec status1 status2 dialstatus caller_phone receiver_phone", "v_call_event")
 add_columns("j07_activity_lead", lambda e: e.build(), "activity_id prospect_id lead_id first_name email_address", "f_fact")
 add("j08_lead_sale", lambda e: audits.sales_per_lead(e.leads, e.raw["sales"]),
-    """select l.id, count(*) as n_sales, min(s.sale_date) as first_sale_date, max(s.sale_date) as last_sale_date,
+    """select l.id, count(*) as n_sales, cast(min(s.sale_date) as date) as first_sale_date, cast(max(s.sale_date) as date) as last_sale_date,
        cast(sum(s.sale_value) as decimal(28,2)) as booked from v_leads l join raw_sales s
        on lower(trim(s.lead_email)) = lower(trim(l.email_address)) group by 1""")
 add_columns("j09_first_capture_of_month", lambda e: e.build(),

@@ -196,7 +196,7 @@ def _fact_ctes(x: str, *, legacy: bool = False, placement: str = "first_row_if_c
     """The activity fact with the joins of first/last rows; ``x`` prefixes the names."""
     labels = rules.LEGACY_STAR_LABELS if legacy else rules.STAR_LABELS
     new, recaptured, other = rules.LEGACY_SEGMENTS if legacy else rules.SEGMENTS
-    day = "cast(s.sale_date as timestamp)" if legacy else "s.sale_date"
+    day = "cast(s.sale_date as timestamp)" if legacy else "cast(s.sale_date as date)"
     name = (lambda u: f"concat({u}.first_name, ' ', {u}.last_name)") if legacy else (
         lambda u: f"{u}.first_name || ' ' || {u}.last_name")
     sale = {
@@ -232,7 +232,7 @@ def _fact_ctes(x: str, *, legacy: bool = False, placement: str = "first_row_if_c
           where capture = 1 qualify row_number() over (partition by lead_id order by created_at desc, activity_id desc) = 1""",
         f"{x}enrol": f"""select l.id as lead_id, {day} as enroll_date, s.sale_value, s.sale_program, s.sale_ind_pg
           from v_leads l join raw_sales s on lower(trim(s.lead_email)) = lower(trim(l.email_address))
-          qualify row_number() over (partition by l.id order by s.sale_date, s.sale_value,
+          qualify row_number() over (partition by l.id order by {day}, s.sale_value,
             s.sale_program nulls first, s.sale_ind_pg nulls first) = 1""",
         f"{x}assigned": f"""select lead_id, m, activity_id, created_at as happened, selected_user_id_assign as owner,
           priority_score1 as score, {star_case('priority_score1', labels)} as star,

@@ -144,7 +144,11 @@ def section_sql(fact: str, view: str, section: str, dims: list[str]) -> str:
         before = ", ".join(f'"{p.args[0]}" as "{p.name}"' for p in prior)
         now = steps[-1]
         others = ", ".join(f"{d} as {d}" if d != month else f"cast({d} + interval 1 month as date) as {d}" for d in dims)
-        steps.append(f"select * from ({now}) full join (select {others}, {before} from ({now})) using ({keys})")
+        # a group without a value has a month before, too
+        both = ", ".join(f"coalesce(a.{d}, b.{d}) as {d}" for d in dims)
+        same = " and ".join(f"a.{d} is not distinct from b.{d}" for d in dims)
+        steps.append(f"select {both}, a.* exclude ({keys}), b.* exclude ({keys}) from ({now}) a "
+                     f"full join (select {others}, {before} from ({now})) b on {same}")
     put([m for m in chain if m.kind not in measures.AGGREGATES | {"prior"} and m.name not in early])
     rows = []
     for n in names:

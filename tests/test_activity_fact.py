@@ -48,7 +48,7 @@ class World:
             self.add("capture_metadata", lead_capture_message_id=f"m{id}", source=source, created_at=at(when))
 
     def sale(self, lead, day, value="100.00", email=None):
-        self.add("sales", lead_email=(email or f" {lead}@MAIL.example "), sale_date=dt.date.fromisoformat(day),
+        self.add("sales", lead_email=(email or f" {lead}@MAIL.example "), sale_date=dt.datetime.fromisoformat(day),
                  sale_value=Decimal(value), sale_ind_pg="PG")
 
     def assign(self, id, lead, when, user, **more):

@@ -136,3 +136,11 @@ def test_business_date_and_week(spark):
     row = spark.sql("select timestamp_ntz'2025-04-08 10:29:00' a, timestamp_ntz'2025-04-08 10:30:00' b").select(
         business_date(F.col("a")), business_date(F.col("b")), week_of_month(F.col("a"))).first()
     assert tuple(row) == (dt.date(2025, 4, 7), dt.date(2025, 4, 8), 2)
+
+
+def test_event_fields_tell_texts_in_brackets_from_nested_values(spark):
+    bodies = ['{"status1":"[ok]","status2":["ok"],"duration":7}', '{"status1":"{x}","status2":{"a":1}}', "{broken", None, ""]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
+    got = df.select("i", *prep.event_fields(df["body"])).orderBy("i").collect()
+    assert [(r.call_duration_sec, r.status1, r.status2) for r in got] == [
+        (7, "[ok]", None), (None, "{x}", None), *[(None, None, None)] * 3]

@@ -6,9 +6,11 @@ import datetime as dt
 import re
 
 import pytest
+from pyspark.errors import ParseException
+from pyspark.sql import functions as F
 
 from crmfunnel.plans import audits, checks, jobs, reports
-from crmfunnel.plans.activity_fact import build_activity_fact
+from crmfunnel.plans.activity_fact import LEGACY, FactOptions, build_activity_fact, first_sale_per_email
 from crmfunnel.sources.schemas import RAW_SCHEMAS
 from crmfunnel.sources.surrogate import raw_tables
 from crmfunnel.sources.tables import read_raw, register_view, tidy_sales, write_json, write_table
@@ -44,7 +46,18 @@ def test_sales_headers(spark):
     sheet = spark.createDataFrame([("a@b", "2025-01-02", 10.5, "P", "PG")], ["Lead Email", "Formatted Sale Date",
                                   "Booked Sale Amount", "Program Chosen by Lead", "Enrollment Type"])
     row = tidy_sales(sheet).first()
-    assert (row.lead_email, row.sale_date, float(row.sale_value)) == ("a@b", dt.date(2025, 1, 2), 10.5)
+    assert (row.lead_email, row.sale_date, float(row.sale_value)) == ("a@b", dt.datetime(2025, 1, 2), 10.5)
+    late = sheet.withColumn("Formatted Sale Date", F.lit("2025-01-02 15:30:00"))
+    for opt, want in ((LEGACY, dt.datetime(2025, 1, 2, 15, 30)), (FactOptions(), dt.date(2025, 1, 2))):
+        assert first_sale_per_email(tidy_sales(late), opt).first().enroll_date == want
+
+
+def test_rebuild_refuses_duplicate_keys(spark, raw, tmp_path):
+    latest = raw["activity_base"].agg({"created_at": "max"}).first()[0].date()
+    for name in ("user", "activity_extension"):
+        with pytest.raises(ValueError, match="duplicate key"):
+            jobs.rebuild(spark, raw | {name: raw[name].unionAll(raw[name])}, str(tmp_path), latest, min_rows=100)
+    assert not list(tmp_path.iterdir())
 
 
 def test_rebuild_writes_three_tables(spark, raw, tmp_path):
@@ -92,16 +105,20 @@ def test_orphans(spark):
 
 
 @pytest.mark.parametrize("text", ["drop table x", "select 1; delete from x", "/* hi */ INSERT into x select 1",
-                                  "create view v as select 1", "merge into x using y"])
-def test_ad_hoc_refuses_writes(text):
-    with pytest.raises(ValueError):
-        reports.assert_read_only(text)
+                                  "create view v as select 1", "merge into x using y", "set a = 1", "add jar x",
+                                  "load data inpath 'x' into table y", "cache table x", "refresh table x",
+                                  "select 1) ; drop table x; select * from (select 1"])
+def test_ad_hoc_refuses_commands(spark, text):
+    with pytest.raises(ParseException):
+        reports.ad_hoc(spark, text, {"x": spark.range(1)})
 
 
 @pytest.mark.parametrize("text", ["select 'drop table x'", "select 1 -- delete\n", "select /* update */ 1",
-                                  "select updated_at, created_at from x"])
-def test_ad_hoc_allows_reads(text):
-    reports.assert_read_only(text)
+                                  "select id as updated_at from x;",
+                                  "with y as (select * from x) select '{a}' from y order by 1"])
+def test_ad_hoc_allows_reads(spark, text):
+    assert reports.ad_hoc(spark, text, {"x": spark.range(1)}).count() == 1
+    assert not spark.catalog.tableExists("x")
 
 
 def test_ad_hoc_parameters_and_cap(spark):
