@@ -52,7 +52,7 @@ def orphans(df: DataFrame, other: DataFrame, key: str, other_key: str) -> DataFr
 def value_distribution(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows per value combination and their share of all rows."""
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.withColumn("share", ratio(F.col("n_rows"), df.agg(F.count(F.lit(1))).scalar()))
+    return counts.withColumn("share", ratio(F.col("n_rows"), counts.agg(F.sum("n_rows")).scalar()))
 
 
 def revenue_reconciliation(sales: DataFrame, fact: DataFrame) -> DataFrame:

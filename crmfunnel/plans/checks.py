@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.distinct import conditional_distinct
 from . import reports
 
 SOURCE_MAX_LAG_DAYS = 1
@@ -86,14 +85,13 @@ def report_sanity(fact: DataFrame, month: int, year: int) -> DataFrame:
 
 def reconciliation(fact: DataFrame, month: int, year: int) -> DataFrame:
     """Leads of the source and segment breakdowns against the total."""
-    rows = reports.in_month(fact, month, year)
-    leads = {"Leads": reports.funnel_flags()["Leads"]}
-
-    def summed(dim: str) -> Column:
-        return conditional_distinct(rows, [dim], "lead_id", leads).agg(
-            F.coalesce(F.sum("Leads"), F.lit(0)).cast("bigint")).scalar()
-    one = conditional_distinct(rows, [], "lead_id", leads).select(
-        "Leads", summed("source_attribution_final").alias("by_source"), summed("lead_segment").alias("by_segment"))
+    dims = {"by_source": "source_attribution_final", "by_segment": "lead_segment"}
+    leads = reports.in_month(fact, month, year).filter(
+        reports.funnel_flags()["Leads"] & F.col("lead_id").isNotNull()).select("lead_id", *dims.values()).distinct()
+    # a lead has few sources and segments; a missing one is a group of its own
+    per_lead = leads.groupBy("lead_id").agg(
+        *[F.size(F.collect_set(F.struct(c))).cast("bigint").alias(n) for n, c in dims.items()])
+    one = per_lead.agg(F.count(F.lit(1)).alias("Leads"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in dims])
     return _as_rows(
         one,
         _check("source_leads_add_up", F.col("by_source") == F.col("Leads"), pair("by_source", "Leads")),

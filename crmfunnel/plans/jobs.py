@@ -1,8 +1,9 @@
-"""Daily rebuild: gate, staged inputs, parallel table writes, post-check."""
+"""Daily rebuild: gate, staged inputs, parallel table writes beside the live ones, post-check, switch."""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.session import tune
-from ..sources.tables import Tables, shared_dir, write_table
+from ..sources.tables import Tables, remove, replace, shared_dir, write_table
 from . import audits, checks, prep
 from .activity_fact import FactOptions, activity_fact
 from .call_fact import call_fact
@@ -35,13 +36,35 @@ def staged(df: DataFrame, name: str, folder: str) -> DataFrame:
 
 def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: FactOptions = FactOptions(),
             max_lag_days: int = checks.SOURCE_MAX_LAG_DAYS, min_rows: int = checks.MIN_FACT_ROWS) -> DataFrame:
-    """Rebuild the facts and the user dimension under ``out``; gives the post-check rows."""
+    """Rebuild the facts and the user dimension under ``out``; gives the post-check rows.
+
+    Tables are written beside the live ones and take their place only after the post-check; a failed
+    build or check leaves the live ones as they are.  Intermediate tables are removed in every case.
+    """
     tune(spark)
     checks.source_gate(t["activity_base"], "created_at", as_of, max_lag_days)
     for name, keys in UNIQUE_KEYS.items():
         known = [F.col(k).isNotNull() for k in keys]
         audits.assert_unique(t[name].filter(reduce(Column.__and__, known)), keys)
-    folder = f"{shared_dir(spark)}/rebuild-{spark.sparkContext.applicationId}"
+    run = f"rebuild-{uuid.uuid4().hex}"
+    folder, fresh, aside = f"{shared_dir(spark)}/{run}", f"{out}/_{run}/new", f"{out}/_{run}/old"
+    try:
+        result = _build_and_check(spark, t, folder, fresh, as_of, opt, max_lag_days, min_rows)
+        for name in PARTITIONS:
+            replace(spark, f"{fresh}/{name}", f"{out}/{name}", f"{aside}/{name}")
+        # a live table that could not be put back stays aside, so this folder goes only after a full switch
+        remove(spark, f"{out}/_{run}")
+        return result
+    except Exception:
+        remove(spark, fresh)
+        raise
+    finally:
+        remove(spark, folder)
+
+
+def _build_and_check(spark: SparkSession, t: Tables, folder: str, fresh: str, as_of: dt.date, opt: FactOptions,
+                     max_lag_days: int, min_rows: int) -> DataFrame:
+    """Write all tables under ``fresh``; raises where one is not built or the post-check fails."""
     stream = staged(prep.activity_with_source(t), "activity_stream", folder)
     active = staged(prep.active_prospects(stream, t["call"]), "active_prospects", folder)
     leads = staged(prep.unified_leads(prep.only_active(t, active)), "leads", folder)
@@ -52,8 +75,7 @@ def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: Fa
     }
 
     def build(name: str) -> None:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
-        write_table(builds[name](), f"{out}/{name}", PARTITIONS[name])
+        write_table(builds[name](), f"{fresh}/{name}", PARTITIONS[name])
 
     failures = {}
     with ThreadPoolExecutor(len(builds)) as pool:
@@ -63,10 +85,11 @@ def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: Fa
                 failures[name] = error
     if failures:
         raise RuntimeError(f"tables not built: {failures}")
-    tables = {name: spark.read.parquet(f"{out}/{name}") for name in builds}
+    tables = {name: spark.read.parquet(f"{fresh}/{name}") for name in builds}
     result = checks.post_check(tables["activity_fact"], tables["user"], tables["call_fact"], as_of,
                                min_rows, max_lag_days)
-    failed = [r.check for r in result.collect() if not r.ok]
+    rows = result.collect()  # one row per check
+    failed = [r.check for r in rows if not r.ok]
     if failed:
         raise RuntimeError(f"post-check failed: {failed}")
-    return result
+    return spark.createDataFrame(rows, result.schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -151,20 +151,33 @@ def completed_events(t: Tables) -> DataFrame:
     return latest_per_key(done, ["call_id"], ["created_at"], ["event_data"])
 
 
-def event_fields(payload) -> list:
-    """Scalar fields of a call-event payload.
+#: Scalar fields of a call-event payload and the columns made from them.
+EVENT_FIELDS = {
+    "duration": "call_duration_sec",
+    "status1": "status1",
+    "status2": "status2",
+    "dialstatus": "dialstatus",
+    "caller": "caller_phone",
+    "receiver": "receiver_phone",
+}
 
-    ``get_json_object`` gives NULL for malformed text.  Nested values come back as their JSON text and
-    are dropped, so only scalars pass; a value that looks nested is parsed once more to tell it from a quoted text.
+
+def with_event_fields(df: DataFrame, payload: str) -> DataFrame:
+    """Replace a call-event payload by its scalar fields.
+
+    One parse gives all fields; malformed text gives NULLs.  Nested values come back as their JSON text and
+    are dropped, so only scalars pass; a row with a value that looks nested is parsed once more to tell it
+    from a quoted text.
     """
-    def scalar(path: str):
-        value = F.get_json_object(payload, f"$.{path}")
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(payload), f"$.{path}", "variant"))
+    body = F.col(payload)
+    parsed = df.select("*", F.json_tuple(body, *EVENT_FIELDS).alias(*[f"_{f}" for f in EVENT_FIELDS]))
+
+    def scalar(field: str) -> Column:
+        value = F.col(f"_{field}")
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(body), f"$.{field}", "variant"))
         return F.when(~value.rlike(r"(?s)^(\{.*\}|\[.*\])$"), value).when(kind == "STRING", value)
-    fields = [scalar("duration").try_cast("int").alias("call_duration_sec")]
-    fields += [scalar(p).alias(p) for p in ("status1", "status2", "dialstatus")]
-    fields += [scalar(p).alias(f"{p}_phone") for p in ("caller", "receiver")]
-    return fields
+    typed = {f: scalar(f).try_cast("int") if f == "duration" else scalar(f) for f in EVENT_FIELDS}
+    return parsed.select(*[c for c in df.columns if c != payload], *[typed[f].alias(n) for f, n in EVENT_FIELDS.items()])
 
 
 def calls_with_event(t: Tables) -> DataFrame:
@@ -173,8 +186,8 @@ def calls_with_event(t: Tables) -> DataFrame:
         F.col("id").alias("call_id"), "prospect_id", F.col("user_id").alias("se_user_id"), "created_at",
         "updated_at", "call_status", "direction", "is_manual_call_done", "original_call_status", "comments",
         "platform_type")
-    return (calls.join(completed_events(t), "call_id", "left")
-            .select(*calls.columns, *event_fields(F.col("event_data"))))
+    joined = calls.join(completed_events(t), "call_id", "left").select(*calls.columns, "event_data")
+    return with_event_fields(joined, "event_data")
 
 
 def call_detail(t: Tables) -> DataFrame:

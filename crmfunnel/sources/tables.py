@@ -38,18 +38,44 @@ def tidy_sales(sheet: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Full rebuild of a table.
+    """Full rebuild of a table, rebalanced to even files.
 
-    A partitioned table is written from the tasks that computed it: at scale every task
-    fills large files per partition value, and the wide rows are not shuffled again.
-    Other tables are rebalanced to even files.
+    A partitioned table is rebalanced by its partition column: a value's rows meet in few tasks, and
+    adaptive execution splits a large value, so the number of files follows the bytes of each value.
     """
     if partition_by:
-        df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     else:
         df.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """File system of a path, and the path as it takes it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _files(spark, path)
+    fs.delete(target, True)
+
+
+def replace(spark: SparkSession, fresh: str, live: str, aside: str) -> None:
+    """Move a built table to the place of the live one, which is kept aside until then."""
+    fs, new = _files(spark, fresh)
+    _, place = _files(spark, live)
+    _, old = _files(spark, aside)
+    fs.mkdirs(old.getParent())
+    fs.mkdirs(place.getParent())
+    if fs.exists(place) and not fs.rename(place, old):
+        raise OSError(f"can't move {live} aside")
+    if not fs.rename(new, place):
+        if fs.exists(old):
+            fs.rename(old, place)
+        raise OSError(f"can't move {fresh} to {live}")
+    fs.delete(old, True)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """A report result as JSON lines."""
     df.write.mode("overwrite").json(path)

@@ -141,6 +141,12 @@ def test_business_date_and_week(spark):
 def test_event_fields_tell_texts_in_brackets_from_nested_values(spark):
     bodies = ['{"status1":"[ok]","status2":["ok"],"duration":7}', '{"status1":"{x}","status2":{"a":1}}', "{broken", None, ""]
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
-    got = df.select("i", *prep.event_fields(df["body"])).orderBy("i").collect()
+    got = prep.with_event_fields(df, "body").orderBy("i").collect()
     assert [(r.call_duration_sec, r.status1, r.status2) for r in got] == [
         (7, "[ok]", None), (None, "{x}", None), *[(None, None, None)] * 3]
+
+
+def test_event_payload_is_parsed_once(spark):
+    df = prep.with_event_fields(spark.createDataFrame([(1, '{"status1":"ok"}')], "i int, body string"), "body")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "get_json_object" not in text and text.count("Generate json_tuple") == 1

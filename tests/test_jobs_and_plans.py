@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.errors import ParseException
@@ -74,6 +75,36 @@ def test_rebuild_writes_three_tables(spark, raw, tmp_path):
         "fact_is_fresh": False, "fact_is_large": False, "users_present": True, "calls_present": True}
     with pytest.raises(RuntimeError, match="stale"):
         jobs.rebuild(spark, raw, str(tmp_path), latest + dt.timedelta(days=9))
+    # a failed post-check leaves the live tables, and nothing of the new ones or the staged inputs
+    with pytest.raises(RuntimeError, match="fact_is_large"):
+        jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=10**9)
+    assert spark.read.parquet(f"{tmp_path}/activity_fact").count() == build_activity_fact(raw).count()
+    assert not list(tmp_path.glob("_rebuild-*/new"))
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("rebuild-*"))
+    # a second rebuild takes the place of the first
+    jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=100)
+    assert spark.read.parquet(f"{tmp_path}/activity_fact").count() == build_activity_fact(raw).count()
+
+
+def test_partitioned_write_bounds_files_and_splits_a_large_value(spark, tmp_path):
+    rows = spark.range(0, 200_000, 1, 16).select(
+        F.when(F.col("id") % 4 == 0, F.col("id") % 3).otherwise(9).alias("month"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        write_table(rows, f"{tmp_path}/t", "month")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {m: len(list(tmp_path.glob(f"t/month={m}/*.parquet"))) for m in (0, 1, 2, 9)}
+    assert files[9] > 1 and all(files[m] <= 2 for m in (0, 1, 2))
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
+
+
+def test_reconciliation_counts_a_lead_in_every_group(spark):
+    rows = [("a", "x", "s"), ("a", None, "s"), ("a", "x", None), ("b", "x", "s"), (None, "y", "s")]
+    fact = spark.createDataFrame(rows, "lead_id string, source_attribution_final string, lead_segment string").crossJoin(
+        spark.sql("select date'2024-06-01' activity_month_start, 'Lead Capture' activity_type_category, 0 Is_Valid_Enroll, 'Leads' SameMonthEnrolls"))
+    got = {r.check: (r.ok, r.detail) for r in checks.reconciliation(fact, 6, 2024).collect()}
+    assert got == {"source_leads_add_up": (False, "by_source=3 Leads=2"), "segment_leads_add_up": (False, "by_segment=3 Leads=2")}
 
 
 def test_gate_refuses_an_empty_source(spark):
