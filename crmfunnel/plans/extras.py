@@ -170,3 +170,42 @@ def drift(current: DataFrame, baseline: DataFrame, keys: Sequence[str], metric:
 def calendar_integers(df: DataFrame, at: str) -> Mapping[str, Column]:
     col = F.col(at)
     return {"week_of_month": week_of_month(col), "hour": F.hour(col), "year_month": year_month_int(col)}
+
+
+def leads_across_facts(fact: DataFrame, calls: DataFrame) -> DataFrame:
+    """One row per lead of either fact: captured, enrolled, dials and connected calls.
+
+    Each fact is reduced to its leads first, so the join meets one row per lead on both sides.
+    """
+    known = F.col("lead_id").isNotNull()
+    acted = fact.filter(known).groupBy("lead_id").agg(
+        F.max(F.when(F.col("activity_type_category") == "Lead Capture", 1).otherwise(0)).alias("is_captured"),
+        F.max(F.when(F.col("Is_Valid_Enroll") == 1, 1).otherwise(0)).alias("is_enrolled"))
+    valid = F.col("Is_Valid_Call") == 1
+    called = calls.filter(known).groupBy("lead_id").agg(
+        F.count(F.when(valid, 1)).alias("dials"),
+        F.count(F.when(valid & (F.col("Is_Connected_Call") == 1), 1)).alias("connected_calls"))
+    return acted.join(called, "lead_id", "full").fillna(0)
+
+
+def calling_by_outcome(fact: DataFrame, calls: DataFrame) -> DataFrame:
+    """Calling of captured and enrolled leads: dials per lead, and the rate of dialled leads that connected."""
+    dialled, connected = F.count(F.when(F.col("dials") > 0, 1)), F.count(F.when(F.col("connected_calls") > 0, 1))
+    return leads_across_facts(fact, calls).groupBy("is_captured", "is_enrolled").agg(
+        F.count(F.lit(1)).alias("leads"), F.sum("dials").alias("dials"), dialled.alias("dialled_leads"),
+        connected.alias("connected_leads"), ratio(F.sum("dials"), F.count(F.lit(1))).alias("dials_per_lead"),
+        ratio(connected, dialled).alias("connected_rate"))
+
+
+def counts_by_period(fact: DataFrame, calendar: DataFrame, month: str, period: Sequence[str], entity: str,
+                     flags: Mapping[str, Column]) -> DataFrame:
+    """Distinct counts of a fact by columns of the calendar that whole months share, e.g. quarter and fiscal year.
+
+    The fact is reduced to one row per (month, entity) before the calendar's months are joined; a month
+    outside the calendar counts under a missing period.
+    """
+    monthly = entity_flags(fact, [month], entity, flags)
+    months = calendar.select(F.col("cal_month_start").alias(month), *period).distinct()
+    joined = monthly.join(months, month, "left")
+    per_entity = joined.groupBy(*period, entity).agg(*[F.max(n).alias(n) for n in flags])
+    return count_flags(per_entity, period, entity, list(flags))

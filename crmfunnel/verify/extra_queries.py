@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators.distinct import conditional_distinct
-from ..plans import extras
+from ..plans import dims, extras, reports
 from .registry import add
 
 AS_OF = dt.date(2025, 6, 1)
@@ -114,3 +114,33 @@ add("e13_calendar_integers",
     """select cast(strftime(created_at, '%Y%m') as integer) as year_month,
        cast((day(created_at) - 1) // 7 + 1 as integer) as week_of_month, cast(hour(created_at) as integer) as hour,
        count(*) as n_rows from f_fact group by all""")
+_CALLED = """select coalesce(a.lead_id, c.lead_id) as lead_id, ifnull(is_captured, 0) as is_captured,
+    ifnull(is_enrolled, 0) as is_enrolled, ifnull(dials, 0) as dials, ifnull(connected_calls, 0) as connected_calls
+    from (select lead_id, max(cast(activity_type_category = 'Lead Capture' as integer)) as is_captured,
+            max(cast(Is_Valid_Enroll = 1 as integer)) as is_enrolled from f_fact where lead_id is not null group by 1) a
+    full join (select lead_id, count(*) filter (Is_Valid_Call = 1) as dials,
+            count(*) filter (Is_Valid_Call = 1 and Is_Connected_Call = 1) as connected_calls
+          from call_fact where lead_id is not null group by 1) c on a.lead_id = c.lead_id"""
+add("x01_leads_across_facts", lambda e: extras.leads_across_facts(e.fact, e.call_fact), _CALLED)
+add("x02_calling_by_outcome", lambda e: extras.calling_by_outcome(e.fact, e.call_fact),
+    f"""select *, cast(dials as double) / leads as dials_per_lead,
+        if(dialled_leads = 0, 0.0::double, cast(connected_leads as double) / dialled_leads) as connected_rate from (
+        select is_captured, is_enrolled, count(*) as leads, cast(sum(dials) as bigint) as dials,
+        count(*) filter (dials > 0) as dialled_leads, count(*) filter (connected_calls > 0) as connected_leads
+        from ({_CALLED}) group by 1, 2)""")
+_QUARTER, _FY = "concat('Q', quarter({0}))", "concat('FY', year({0} + interval 9 month))"
+add("x03_funnel_by_quarter",
+    lambda e: extras.counts_by_period(e.fact, dims.calendar_of(e.rows, "created_at"), "activity_month_start",
+                                      ["cal_fy", "cal_quarter"], "lead_id", reports.breakdown_flags()),
+    f"""select {_FY.format('created_at')} as cal_fy, {_QUARTER.format('created_at')} as cal_quarter,
+        count(distinct case when {CAP} then lead_id end) as Leads,
+        count(distinct case when activity_type_category = 'Demo Scheduled' then lead_id end) as Demos_SE,
+        count(distinct case when Is_Valid_Enroll = 1 then lead_id end) as Enrolls
+        from f_fact group by 1, 2""")
+add("x04_calls_by_fiscal_year",
+    lambda e: extras.counts_by_period(e.call_fact, dims.calendar_of(e.call_fact, "created_at"), "call_month_start",
+                                      ["cal_fy"], "lead_id", {"dialled_leads": F.col("Is_Valid_Call") == 1,
+                                      "connected_leads": (F.col("Is_Valid_Call") == 1) & (F.col("Is_Connected_Call") == 1)}),
+    f"""select {_FY.format('created_at')} as cal_fy, count(distinct case when Is_Valid_Call = 1 then lead_id end) as dialled_leads,
+        count(distinct case when Is_Valid_Call = 1 and Is_Connected_Call = 1 then lead_id end) as connected_leads
+        from call_fact group by 1""")

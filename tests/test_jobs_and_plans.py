@@ -10,7 +10,7 @@ import pytest
 from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
-from crmfunnel.plans import audits, checks, jobs, reports
+from crmfunnel.plans import audits, checks, dims, extras, jobs, reports
 from crmfunnel.plans.activity_fact import LEGACY, FactOptions, build_activity_fact, first_sale_per_email
 from crmfunnel.sources.schemas import RAW_SCHEMAS
 from crmfunnel.sources.surrogate import raw_tables
@@ -211,3 +211,24 @@ def test_hot_lead_is_split_over_tasks(spark, raw):
 
 def test_ad_hoc_returns_all_rows_by_default(spark):
     assert reports.ad_hoc(spark, "select id from many", {"many": spark.range(60_000)}).count() == 60_000
+
+
+def test_leads_are_joined_after_each_fact_is_reduced(spark):
+    fact = spark.createDataFrame([("a", "Lead Capture", 0), ("a", "Lead Capture", 1), ("b", "Demo Scheduled", 0), (None, "Lead Capture", 1)],
+                                 "lead_id string, activity_type_category string, Is_Valid_Enroll int")
+    calls = spark.createDataFrame([("a", 1, 1), ("a", 1, 0), ("a", 0, 1), ("c", 1, 0), (None, 1, 1)],
+                                  "lead_id string, Is_Valid_Call int, Is_Connected_Call int")
+    rows = {tuple(r) for r in extras.leads_across_facts(fact, calls).collect()}
+    assert rows == {("a", 1, 1, 2, 1), ("b", 0, 0, 0, 0), ("c", 0, 0, 1, 0)}
+    got = {tuple(r) for r in extras.calling_by_outcome(fact, calls).collect()}
+    assert got == {(1, 1, 1, 2, 1, 1, 2.0, 1.0), (0, 0, 2, 1, 1, 0, 0.5, 0.0)}
+    assert extras.calling_by_outcome(fact.limit(0), calls.limit(0)).count() == 0
+
+
+def test_an_entity_counts_once_a_period(spark):
+    day = lambda text: dt.date.fromisoformat(text)
+    fact = spark.createDataFrame([("a", day("2024-01-01")), ("a", day("2024-02-01")), ("a", day("2024-04-01")), ("b", None)],
+                                 "lead_id string, month date")
+    calendar = dims.calendar_between(spark.sql("select date'2024-01-01' lo, date'2024-12-31' hi"))
+    got = extras.counts_by_period(fact, calendar, "month", ["cal_fy", "cal_quarter"], "lead_id", {"n": F.lit(True)})
+    assert {tuple(r) for r in got.collect()} == {("FY2024", "Q1", 1), ("FY2025", "Q2", 1), (None, None, 1)}
