@@ -118,6 +118,21 @@ def test_one_of_each_class_stays(docs, empty):
     assert set(ids) == want and ids.count(8) == 1
 
 
+def text_pieces():
+    """A text, a near copy of it, and two texts unlike both."""
+    words = [f"v{i}" for i in range(80)]
+    return " ".join(words), " ".join([*words[:79], "z"]), " ".join(f"x{i}" for i in range(80)), " ".join(f"y{i}" for i in range(80))
+
+
+def test_rows_that_repeat_an_id_go_by_their_own_text(spark):
+    first, near, other, third = text_pieces()
+    rows = [(3, first), (7, near), (7, other), (7, None), (9, near), (9, first), (10, third), (10, third)]
+    df = spark.createDataFrame([(*r, {"k": "v"}) for r in rows], "doc_id long, text string, `a.b` map<string, string>").repartition(3)
+    kept = ngram_join.keep_one(df.drop("a.b"))
+    assert rows_of(kept, "doc_id", "text") == sorted([(3, first), (7, other), (7, None), (10, third)], key=repr)
+    assert ngram_join.keep_one(df.filter("doc_id in (3, 7)")).columns == df.columns
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(300, 300)]
