@@ -133,6 +133,16 @@ def test_rows_that_repeat_an_id_go_by_their_own_text(spark):
     assert ngram_join.keep_one(df.filter("doc_id in (3, 7)")).columns == df.columns
 
 
+def test_one_of_a_class_stays_also_without_ids_or_under_one_id(spark):
+    first, near, other, third = text_pieces()
+    rows = [(3, first), (None, near), (None, first), (None, other), (None, other + " z"), (None, other.upper()),
+            (5, third), (5, third + " z"), (5, third.upper()), (None, None), (None, ""), (None, "")]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    others, thirds = [[r.doc_id for r in kept if (r.text or "").lower().startswith(x)] for x in ("x", "y")]
+    assert sorted(r.text for r in kept if r.doc_id == 3) == [first] and others == [None] and thirds == [5]
+    assert len(kept) == 6 and sum(not r.text for r in kept) == 3
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(300, 300)]
