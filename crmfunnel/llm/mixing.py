@@ -62,6 +62,11 @@ def _within(size: Column, before: Column, budget: Column) -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 17,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` of every row."""
+    return _copies(docs, weights, share, repeats, seed, id_col, text_col, source_col).drop("copies", "copy")
+
+
+def _copies(docs: DataFrame, weights, share: float, repeats: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """The mix; rows with equal id, source and size are ``copies`` in number, and numbered by ``copy`` from 0."""
     sized = stage(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"),
                          word_count(F.col(f"`{text_col}`")).alias("size"))
              .groupBy("doc_id", "source", "size").agg(F.count("*").alias("copies"))
@@ -90,7 +95,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = R
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "source_size", "target", "copies", "copy",
         (epochs * F.col("size") + _within(F.col("size"), F.col("before"), rest)).cast("long").alias("taken"))
 
 
@@ -99,17 +104,24 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
     """The mix itself, with the columns of ``docs``: a row for each time a document is taken, whole or in part.
 
     Of the document at which a source's budget is cut the first words are taken, joined by blanks; its length
-    in ``length_col`` is kept up.  Rows with equal id, source and size share what is taken of them evenly.
+    in ``length_col`` is kept up.  Rows with equal id, source and size are numbered by the hash of their texts, and
+    take what :func:`mix` takes of the copy of that number.
     """
     names = docs.columns
     text = F.col(f"`{text_col}`")
-    taken = (mix(docs, weights, share, repeats, seed, id_col, text_col, source_col)
-             .groupBy(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"))
-             .agg(F.floor(F.sum("taken") / F.count("*")).cast("long").alias("m_taken")).filter("m_taken > 0"))
-    rows = docs.select(F.struct("*").alias("d"), word_count(text).alias("size"), F.col(f"`{id_col}`").alias("id"),
-                       F.col(f"`{source_col}`").alias("source"))
-    rows = rows.join(taken, rows["id"].eqNullSafe(taken["m_id"]) & rows["source"].eqNullSafe(taken["m_source"])
-                     & (rows["size"] == taken["m_size"]))
+    taken = stage(_copies(docs, weights, share, repeats, seed, id_col, text_col, source_col).select(
+        F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"),
+        "copies", F.col("copy").alias("m_copy"), F.col("taken").alias("m_taken")), "taken")
+    every = docs.select(F.struct("*").alias("d"), word_count(text).alias("size"), F.col(f"`{id_col}`").alias("id"),
+                        F.col(f"`{source_col}`").alias("source"))
+    same = F.col("id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size"))
+    own = ("d", "size", "m_taken")
+    rows = every.join(taken.filter("copies = 1 and m_taken > 0"), same).select(*own)
+    repeated = taken.filter("copies > 1 and m_copy = 0").select("m_id", "m_source", "m_size")
+    if not repeated.isEmpty():
+        copies = _numbered(every.join(repeated, same, "left_semi"), text_col)
+        rows = rows.unionByName(copies.join(taken.filter("copies > 1 and m_taken > 0"), same & (F.col("copy") == F.col("m_copy")))
+                                .select(*own))
     times = F.ceil(F.col("m_taken") / F.col("size"))
     rows = rows.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), times)))
     words = F.least(F.col("size"), F.col("m_taken") - (F.col("turn") - 1) * F.col("size")).cast("int")
@@ -126,3 +138,22 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
             value = F.when(cut, F.length("text").cast(docs.schema[name].dataType)).otherwise(value)
         out.append(value.alias(name))
     return rows.select(*out)
+
+
+def _numbered(rows: DataFrame, text_col: str) -> DataFrame:
+    """Adds ``copy``: numbers from 0 of rows with equal ``id, source, size``, in order of the hash of their texts.
+
+    Rows are numbered within their text and task, and a running sum over these gives each its start: no window
+    holds more rows of ``rows`` than a task has read.
+    """
+    text = F.coalesce(F.col("d").getField(text_col), F.lit(""))
+    rows = stage(rows.withColumn("hash", F.xxhash64(text)).withColumn("part", F.spark_partition_id()), "copies")
+    key, part = ("id", "source", "size"), ("id", "source", "size", "hash", "part")
+    counts = rows.groupBy(*part).agg(F.count("*").alias("many"))
+    starts = counts.select(*[F.col(k).alias(f"s_{k}") for k in part], (F.sum("many").over(
+        Window.partitionBy(*key).orderBy("hash", "part")) - F.col("many")).alias("start"))
+    inside = rows.withColumn("place", F.row_number().over(Window.partitionBy(*part).orderBy(F.lit(0))) - 1)
+    on = F.lit(True)
+    for k in part:
+        on = on & F.col(k).eqNullSafe(F.col(f"s_{k}"))
+    return inside.join(starts, on).select("d", *key, (F.col("start") + F.col("place")).alias("copy"))

@@ -291,6 +291,15 @@ def test_the_mix_has_the_words_it_takes(docs, empty):
     assert taken - 5 <= words <= taken
 
 
+def test_no_word_of_a_budget_is_lost_on_repeated_ids(spark):
+    rows = [(i, f"a{i} b c d e f g", "s") for i in (None, None, None, None, 1, 1, 1, 2)] + [(3, "x y", None)] * 3
+    df = spark.createDataFrame([(i, f"{t} t{n}", s) for n, (i, t, s) in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    for share in (0.08, 0.7, 1.3):
+        out = mixing.mixed(df, share=share).select("source", F.size(F.split("text", " ")).alias("n")).groupBy("source").agg(F.sum("n"))
+        taken = mixing.mix(df, share=share).groupBy("source").agg(F.sum("taken").alias("n")).filter("n > 0")
+        assert rows_of(out, *out.columns) == rows_of(taken, *taken.columns)
+
+
 def test_pseudonyms(spark, docs, empty):
     text = ("bosbt.42@mail8.example.com 70.123.182.155 2024-02-29 31/12/1999 +1 (988) 555-2485 123-45-6789 4041894974608795 "
             "4111 1111 1111 1111 bad: 2023-02-30 300.1.1.1 666-12-3456 4111111111111112 4.0.2")
