@@ -94,6 +94,16 @@ def test_near_duplicates_are_those_of_all_pairs(docs, empty):
     assert ngram_join.near_duplicates(empty).count() == 0
 
 
+def test_counted_links_are_named_as_those_that_span_a_class(spark):
+    words = [f"v{i}" for i in range(80)]
+    rows = [(i, " ".join([*words[:79], f"z{i}"])) for i in range(6)]
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found.columns == ["doc_id", "n_shingles", "component_id", "spanning_links"]
+    counts = [r.spanning_links for r in found.collect()]
+    # all 15 pairs are near: each text has 5 links, of which not all are needed
+    assert min(counts) >= 1 and sum(counts) >= 2 * 5
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_near_copies_of_near_copies(spark, seed):
     rng = random.Random(seed)
