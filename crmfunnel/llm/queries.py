@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, chat, mixing, ngram_join, packing, pii, quality, secret_scan, topk, warc
+from . import ann, chat, lexical, mixing, ngram_join, packing, pii, quality, secret_scan, topk, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,7 +60,12 @@ def op10_topk(spark, sf_dir):
     return topk.top_products(table(spark, sf_dir, "embeddings"), 10, 100)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op3_packing, op4_secrets, op5_chat, op6_mixing, op7_ann, op8_warc, op9_pii, op10_topk)}
+def op13_lexical(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op3_packing, op4_secrets, op5_chat, op6_mixing, op7_ann, op8_warc, op9_pii, op10_topk,
+                                   op13_lexical)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL: dict[str, str] = {
@@ -83,3 +88,23 @@ ORACLE_SQL: dict[str, str] = {
         r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
         select query_id, rank::int as rank, vec_id, score from r where rank <= 10""",
 }
+
+#: Fixed values of op13's contract: the term pattern and the letters that are lower-cased.
+_TERMS = r"""regexp_extract_all(translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE_SQL["op13_lexical"] = f"""
+    with d as (select row_number() over () as row, doc_id, {_TERMS.format('text')} as t from documents),
+    s as (select count(*) filter (where len(t) > 0) as nn, sum(len(t)) as ll from d),
+    q as (select distinct item_id, term from (select item_id, unnest({_TERMS.format('text')}) as term from benchmark)),
+    p as (select d.row, d.doc_id, len(d.t) as n, u.term from d, unnest(d.t) as u(term)),
+    tf as (select row, doc_id, n, term, count(*) as tf from p where term in (select term from q) group by row, doc_id, n, term),
+    df as (select term, count(*) as df from tf group by term),
+    w as (select term, floor(1000 * ln((2.0 * s.nn + 2) / (2.0 * df.df + 1)))::bigint as w from df, s),
+    sc as (
+        select q.item_id, tf.row, tf.doc_id,
+               sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * tf.n * s.nn) // s.ll))))::bigint as score
+        from q join tf using (term) join w using (term), s
+        group by q.item_id, tf.row, tf.doc_id),
+    r as (select *, row_number() over (partition by item_id order by score desc, doc_id, row) as rank from sc where score > 0)
+    select item_id, rank::int as rank, doc_id, score from r where rank <= 10"""
