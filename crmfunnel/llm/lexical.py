@@ -80,7 +80,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     m = F.lit(10) + _div(F.lit(90) * F.col("n") * F.lit(big_n), F.lit(big_l))
     postings = stage(
         rows.join(vocabulary, "term", "left_semi").groupBy("term", "row", "doc_id", "n").agg(F.count(F.lit(1)).alias("tf"))
-        .select("term", m.cast("long").alias("m"), "tf", "row", "doc_id"),
+        .select("term", m.cast("long").alias("m"), "tf", "row", "doc_id").repartition("row"),
         "lexical_postings")
 
     weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
@@ -97,21 +97,23 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     bounds = stage(bounds.withColumn("before", F.sum("sure_docs").over(by_bound) - F.col("sure_docs")), "lexical_bounds")
 
     first = bounds.filter(F.col("before") < k).select("item_id", "m")
-    first_scores = _scores(first, asked, postings)
-    threshold = (_top(first_scores, k).filter(F.col("rank") == k)
+    threshold = (_top(_scores(first, asked, postings), k).filter(F.col("rank") == k)
                  .select(F.col("item_id").alias("of_item"), F.col("score").alias("threshold")))
-    rest = (bounds.filter(F.col("before") >= k)
-            .join(threshold, F.col("item_id").eqNullSafe(F.col("of_item")), "left")
-            .filter(F.col("bound") >= F.coalesce(F.col("threshold"), F.lit(0)))
-            .select("item_id", "m"))
-    return _top(first_scores.unionByName(_scores(rest, asked, postings)), k).select("item_id", "rank", "doc_id", "score")
+    visited = (bounds.join(threshold, F.col("item_id").eqNullSafe(F.col("of_item")), "left")
+               .filter(F.col("bound") >= F.coalesce(F.col("threshold"), F.lit(0)))
+               .select("item_id", "m"))
+    return _top(_scores(visited, asked, postings), k).select("item_id", "rank", "doc_id", "score")
 
 
 def _scores(strata: DataFrame, asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """Exact scores of the documents of the given (item, stratum) rows."""
-    asked = asked.select(F.col("item_id").alias("of_item"), "term", "w")
-    wanted = strata.join(asked, F.col("item_id").eqNullSafe(F.col("of_item"))).select("item_id", "m", "term", "w")
-    hits = wanted.join(postings, ["term", "m"])
+    """Exact scores of the documents of the given (item, stratum) rows.
+
+    Postings meet the items' terms (small) and then the visited strata (small); a document's postings lie in
+    one partition, so its contributions are summed per item before the exchange.
+    """
+    visit = strata.select(F.col("item_id").alias("of_item"), F.col("m").alias("of_m"))
+    hits = postings.join(asked, "term").join(
+        visit, F.col("item_id").eqNullSafe(F.col("of_item")) & (F.col("m") == F.col("of_m")), "left_semi")
     return (hits.groupBy("item_id", "m", "row", "doc_id")
             .agg(F.sum(F.col("w") * impact(F.col("tf"), F.col("m"))).alias("score"))
             .filter(F.col("score") > 0))
