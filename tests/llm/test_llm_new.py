@@ -97,3 +97,76 @@ def test_lexical_search_of_empty_tables(spark):
     assert lexical.search(d, q).count() == 0
     d, q = frame(spark, [(1, None), (2, "")], [(1, "alpha")])
     assert lexical.search(d, q).count() == 0
+
+
+def lang_rows():
+    rng = np.random.default_rng(2)
+    alphabets = {"en": "the and of to in is it th he", "fr": "le la les de et un une est que",
+                 "de": "der die und das ist nicht ein ich sch", "es": "el la de que y en los se ñ"}
+    rows = []
+    for i in range(600):
+        lang = list(alphabets)[i % 4]
+        rows.append((i, " ".join(rng.choice(alphabets[lang].split(), int(rng.integers(3, 40)))), lang))
+    rows += [(600, None, "en"), (601, "123 !!! 45", "fr"), (602, "", None), (None, "la de que", "es"), (603, "the " * 30000, "en"),
+             (5, rows[5][1], rows[5][2]), (604, "Le LA les", None)]
+    return rows
+
+
+def plain_nb(rows, texts):
+    """Naive Bayes from the same buckets, by plain counting."""
+    from crmfunnel.llm import langid
+    size = 1 << langid.BITS
+    train = [(t, lang) for i, t, lang in rows if i is not None and lang is not None and t is not None
+             and zlib.crc32(str(i).encode()) % 5 != 0]
+    langs = sorted({lang for _, lang in train})
+    counts = {lang: np.zeros(size) for lang in langs}
+    docs = dict.fromkeys(langs, 0)
+    for t, lang in train:
+        np.add.at(counts[lang], langid.grams(t), 1)
+        docs[lang] += 1
+    out = []
+    for t in texts:
+        if t is None or not re.search(r"[^\W\d_]", t):
+            out.append(("und", 0.0))
+            continue
+        h = langid.grams(t)
+        s = np.array([math.log(docs[lg] / len(train)) + np.log((counts[lg][h] + langid.ALPHA) / (counts[lg].sum() + langid.ALPHA * size)).sum()
+                      for lg in langs])
+        p = np.exp(s - s.max())
+        out.append((langs[int(s.argmax())], float(p.max() / p.sum())))
+    return out
+
+
+def test_language_id_is_naive_bayes(spark):
+    from crmfunnel.llm import langid
+    rows = lang_rows()
+    df = spark.createDataFrame([(i, t, lg, "src", 1) for i, t, lg in rows], "doc_id long, text string, lang string, source string, held_out int")
+    got = {(r["doc_id"], r["held_out"]): r for r in langid.identify(df.repartition(3)).collect()}
+    assert len(got) == len(rows) - 1  # the repeated row is one key here
+    want = plain_nb(rows, [t for _, t, _ in rows])
+    for (i, t, _), (lang, score) in zip(rows, want, strict=True):
+        held = i is not None and zlib.crc32(str(i).encode()) % 5 == 0
+        r = got[(i, held)]
+        assert r["lang_pred"] == lang
+        assert r["score"] == pytest.approx(score, abs=1e-3)
+    held = [(got[(i, True)]["lang_pred"], lg) for i, t, lg in rows[:600] if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert sum(a == b for a, b in held) / len(held) >= 0.95
+    for i in (600, 601):
+        assert got[(i, zlib.crc32(str(i).encode()) % 5 == 0)]["lang_pred"] == "und"
+
+
+def test_language_id_blocks_count_each_gram_once(monkeypatch):
+    from crmfunnel.llm import langid
+    text = "abcdefghij" * 7 + "é"
+    whole = np.sort(langid.grams(text))
+    monkeypatch.setattr(langid, "BLOCK", 8)
+    assert np.array_equal(np.sort(langid.grams(text)), whole)
+    assert len(whole) == 3 * len(text) + 3
+
+
+def test_language_id_without_training_rows_or_rows(spark):
+    from crmfunnel.llm import langid
+    df = spark.createDataFrame([(0, "hello there", None), (1, None, "en")], "doc_id long, text string, lang string")
+    held = [zlib.crc32(str(i).encode()) % 5 == 0 for i in (0, 1)]
+    assert [tuple(r) for r in langid.identify(df).orderBy("doc_id").collect()] == [(0, held[0], "und", 0.0), (1, held[1], "und", 0.0)]
+    assert langid.identify(df.limit(0)).count() == 0
