@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, lexical, mixing, ngram_join, packing, pii, quality, secret_scan, topk, warc
+from . import ann, chat, langid, lexical, mixing, ngram_join, packing, pii, quality, secret_scan, topk, vcodes, warc
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,12 +64,16 @@ def op11_langid(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op12_vcodes(spark, sf_dir):
+    return vcodes.encode(table(spark, sf_dir, "embeddings"))
+
+
 def op13_lexical(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_ngram_join, op3_packing, op4_secrets, op5_chat, op6_mixing, op7_ann, op8_warc, op9_pii, op10_topk,
-                                   op11_langid, op13_lexical)}
+                                   op11_langid, op12_vcodes, op13_lexical)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE_SQL: dict[str, str] = {

@@ -170,3 +170,69 @@ def test_language_id_without_training_rows_or_rows(spark):
     held = [zlib.crc32(str(i).encode()) % 5 == 0 for i in (0, 1)]
     assert [tuple(r) for r in langid.identify(df).orderBy("doc_id").collect()] == [(0, held[0], "und", 0.0), (1, held[1], "und", 0.0)]
     assert langid.identify(df.limit(0)).count() == 0
+
+
+def plain_codes(rows):
+    """The contract of op12 by plain k-means: rows are (vec_id, vector, label)."""
+    import hashlib
+    good = [(i, v, lab) for i, v, lab in rows
+            if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    if not good:
+        return set()
+    ints = [(i, np.floor(1024 * np.array(v, np.float64)).astype(np.int64), lab) for i, v, lab in good]
+    ints.sort(key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, tuple(r[1])))
+    d = len(ints[0][1])
+    ints = [r for r in ints if len(r[1]) == d]
+    cut = [(j * d // 4, (j + 1) * d // 4) for j in range(4)]
+    data = [np.array([r[1][a:b] for r in ints], np.int64).reshape(len(ints), b - a) for a, b in cut]
+    books = [x[:256].copy() for x in data]
+
+    def nearest(x, book):
+        dist = ((x[:, None, :] - book[None, :, :]) ** 2).sum(axis=2)
+        return dist.argmin(axis=1), dist.min(axis=1)
+
+    for _ in range(4):
+        for j in range(4):
+            entry, _ = nearest(data[j], books[j])
+            for e in np.unique(entry):
+                books[j][e] = np.floor_divide(data[j][entry == e].sum(axis=0), (entry == e).sum())
+    found = [nearest(data[j], books[j]) for j in range(4)]
+    digest = hashlib.sha256(",".join(str(int(c)) for b in books for c in b.ravel()).encode()).hexdigest()
+    error = sum(f[1] for f in found)
+    by_label = {}
+    for r, e in zip(ints, error, strict=True):
+        by_label[r[2]] = by_label.get(r[2], 0) + int(e)
+    return {(r[0], "".join(f"{int(found[j][0][n]):02x}" for j in range(4)), int(error[n]), by_label[r[2]], digest)
+            for n, r in enumerate(ints)}
+
+
+def code_rows(rng, n=700, d=8):
+    centers = rng.normal(size=(5, d))
+    rows = [(int(i), (centers[i % 5] + 0.1 * rng.normal(size=d)).astype(np.float32).tolist(), int(i % 3) if i % 7 else None)
+            for i in range(n)]
+    rows += [(n, None, 1), (n + 1, [float("nan")] * d, 1), (n + 2, [1.0] * (d - 1) + [None], 2), (n + 3, [1.0] * 3, 2),
+             (None, [0.5] * d, 1), (n + 4, [float("-inf")] + [0.0] * (d - 1), 0), (n + 5, [0.0] * d, 1)]
+    rows += [(n + 6 + i, rows[11][1], 2) for i in range(300)] + [rows[3], rows[3]]
+    return rows
+
+
+def test_vector_codes_are_plain_k_means(spark, monkeypatch):
+    from crmfunnel.llm import vcodes
+    monkeypatch.setattr(vcodes, "BLOCK", 16)
+    rows = code_rows(np.random.default_rng(4))
+    df = spark.createDataFrame([(i, v, lab, "x") for i, v, lab in rows], "vec_id long, embedding array<float>, label int, code string")
+    got = [tuple(r) for r in vcodes.encode(df.repartition(4)).collect()]
+    want = plain_codes([(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], lab) for i, v, lab in rows])
+    # two more copies of row 3 give equal rows
+    assert set(got) == want and len(got) == len(want) + 2
+    assert vcodes.encode(df.limit(0)).count() == 0
+
+
+def test_vector_codes_with_few_rows_and_a_shortlist(spark):
+    from crmfunnel.llm import vcodes
+    rows = [(i, [float(i % 4), float(i % 3), 0.5, -0.25], None) for i in range(10)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert {tuple(r) for r in vcodes.encode(df).collect()} == plain_codes(rows)
+    lo, hi = np.array([0, 0]), np.array([1, 1])
+    book = np.array([[0, 0], [10, 10], [1, 1], [-20, 0]])
+    assert list(vcodes._shortlist(lo, hi, book)) == [0, 2]
