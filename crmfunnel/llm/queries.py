@@ -116,3 +116,39 @@ ORACLE_SQL["op13_lexical"] = f"""
         group by q.item_id, tf.row, tf.doc_id),
     r as (select *, row_number() over (partition by item_id order by score desc, doc_id, row) as rank from sc where score > 0)
     select item_id, rank::int as rank, doc_id, score from r where rank <= 10"""
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """op12 as plain k-means: each round assigns all parts to all entries and takes floored means."""
+    steps = []
+    for r in range(1, rounds + 2):
+        steps.append(f"""
+    dd{r} as (select p.rn, p.j, b.e, coalesce(list_sum(list_transform(list_zip(p.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2]))), 0) as dist
+              from parts p join b{r - 1} b using (j)),
+    a{r} as (select rn, j, e, dist from (select *, row_number() over (partition by rn, j order by dist, e) as q from dd{r}) where q = 1)""")
+        if r <= rounds:
+            steps.append(f"""
+    c{r} as (select a.j, a.e, pos.i, sum(p.x[pos.i]) as total, count(*) as n
+             from a{r} a join parts p using (rn, j), range(1, 1 + (select max(len(x)) from parts)) pos(i)
+             where pos.i <= len(p.x) group by a.j, a.e, pos.i),
+    b{r} as (select b.j, b.e, coalesce(m.x, b.x) as x from b{r - 1} b left join (
+                 select j, e, list(floor(total / n)::bigint order by i) as x from c{r} group by j, e) m using (j, e))""")
+    return f"""
+    with kept as (
+        select vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v
+        from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    dim as (select len(v) as d from kept order by vec_id nulls last, v limit 1),
+    k as (select row_number() over (order by vec_id nulls last, v) as rn, kept.* from kept, dim where len(v) = dim.d),
+    parts as (select rn, j, list_slice(v, j * d // 4 + 1, (j + 1) * d // 4) as x from k, dim, range(4) t(j)),
+    b0 as (select j, rn - 1 as e, x from parts where rn <= 256),{",".join(steps)},
+    fin as (select rn, string_agg(format('{{:02x}}', e), '' order by j) as code, sum(dist)::bigint as error from a{rounds + 1} group by rn),
+    res as (select k.vec_id, k.label, fin.code, fin.error from fin join k using (rn)),
+    lab as (select label, sum(error)::bigint as label_error from res group by label),
+    dig as (select sha256(string_agg(c::varchar, ',' order by j, e, i)) as h
+            from (select j, e, unnest(x) as c, generate_subscripts(x, 1) as i from b{rounds}))
+    select vec_id, code, error, label_error, (select h from dig) as codebooks_sha256
+    from res join lab on res.label is not distinct from lab.label"""
+
+
+ORACLE_SQL["op12_vcodes"] = _codes_sql()
