@@ -1,4 +1,4 @@
-"""Daily rebuild: gate, staged inputs, parallel table writes beside the live ones, post-check, switch."""
+"""Daily rebuild: gate, staged inputs, parallel table writes into a new run, post-check, publication by manifest."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.session import tune
-from ..sources.tables import Tables, remove, replace, shared_dir, write_table
+from ..sources import snapshots
+from ..sources.tables import Tables, remove, shared_dir, write_table
 from . import audits, checks, prep
 from .activity_fact import FactOptions, activity_fact
 from .call_fact import call_fact
@@ -35,31 +36,33 @@ def staged(df: DataFrame, name: str, folder: str) -> DataFrame:
 
 
 def rebuild(spark: SparkSession, t: Tables, out: str, as_of: dt.date, *, opt: FactOptions = FactOptions(),
-            max_lag_days: int = checks.SOURCE_MAX_LAG_DAYS, min_rows: int = checks.MIN_FACT_ROWS) -> DataFrame:
-    """Rebuild the facts and the user dimension under ``out``; gives the post-check rows.
+            max_lag_days: int = checks.SOURCE_MAX_LAG_DAYS, min_rows: int = checks.MIN_FACT_ROWS,
+            keep: int = 2, grace: dt.timedelta = dt.timedelta(hours=6)) -> DataFrame:
+    """Rebuild the facts and the user dimension as a new run under ``out``; gives the post-check rows.
 
-    Tables are written beside the live ones and take their place only after the post-check; a failed
-    build or check leaves the live ones as they are.  Intermediate tables are removed in every case.
+    All tables are written into the run's own folder and become current together when its manifest is
+    published, after the post-check (:mod:`crmfunnel.sources.snapshots`; read them with
+    ``snapshots.read_all``).  A failed build or check removes the run and leaves the current one as it is;
+    nothing is renamed.  Intermediate tables are removed in every case; older runs go by ``keep`` and ``grace``.
     """
     tune(spark)
     checks.source_gate(t["activity_base"], "created_at", as_of, max_lag_days)
     for name, keys in UNIQUE_KEYS.items():
         known = [F.col(k).isNotNull() for k in keys]
         audits.assert_unique(t[name].filter(reduce(Column.__and__, known)), keys)
-    run = f"rebuild-{uuid.uuid4().hex}"
-    folder, fresh, aside = f"{shared_dir(spark)}/{run}", f"{out}/_{run}/new", f"{out}/_{run}/old"
+    run, fresh = snapshots.new_run(out)
+    folder = f"{shared_dir(spark)}/rebuild-{run}"
     try:
         result = _build_and_check(spark, t, folder, fresh, as_of, opt, max_lag_days, min_rows)
-        for name in PARTITIONS:
-            replace(spark, f"{fresh}/{name}", f"{out}/{name}", f"{aside}/{name}")
-        # a live table that could not be put back stays aside, so this folder goes only after a full switch
-        remove(spark, f"{out}/_{run}")
-        return result
-    except Exception:
+        snapshots.publish(spark, out, run, list(PARTITIONS), as_of=as_of.isoformat())
+    except BaseException:
+        # no manifest names this run: no reader can see it
         remove(spark, fresh)
         raise
     finally:
         remove(spark, folder)
+    snapshots.expire(spark, out, keep, grace)
+    return result
 
 
 def _build_and_check(spark: SparkSession, t: Tables, folder: str, fresh: str, as_of: dt.date, opt: FactOptions,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from crmfunnel.plans import audits, checks, dims, extras, jobs, reports
 from crmfunnel.plans.activity_fact import LEGACY, FactOptions, build_activity_fact, first_sale_per_email
+from crmfunnel.sources import snapshots
 from crmfunnel.sources.schemas import RAW_SCHEMAS
 from crmfunnel.sources.surrogate import raw_tables
 from crmfunnel.sources.tables import read_raw, register_view, tidy_sales, write_json, write_table
@@ -65,25 +66,71 @@ def test_rebuild_writes_three_tables(spark, raw, tmp_path):
     latest = raw["activity_base"].agg({"created_at": "max"}).first()[0].date()
     result = jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=100)
     assert all(r.ok for r in result.collect())
-    fact = spark.read.parquet(f"{tmp_path}/activity_fact")
+    live = snapshots.read_all(spark, str(tmp_path))
+    fact = live["activity_fact"]
     assert fact.count() == build_activity_fact(raw).count() and len(fact.columns) == 146
     june = reports.funnel(fact, 6, 2024)
     assert re.search(r"PartitionFilters: \[.*activity_month_start", plan(june))
-    small = checks.post_check(fact, spark.read.parquet(f"{tmp_path}/user"), spark.read.parquet(f"{tmp_path}/call_fact"),
-                              latest + dt.timedelta(days=2), min_rows=10**9)
+    small = checks.post_check(fact, live["user"], live["call_fact"], latest + dt.timedelta(days=2), min_rows=10**9)
     assert {r.check: r.ok for r in small.collect()} == {
         "fact_is_fresh": False, "fact_is_large": False, "users_present": True, "calls_present": True}
+    first = snapshots.current(spark, str(tmp_path))
     with pytest.raises(RuntimeError, match="stale"):
         jobs.rebuild(spark, raw, str(tmp_path), latest + dt.timedelta(days=9))
-    # a failed post-check leaves the live tables, and nothing of the new ones or the staged inputs
+    # a failed post-check leaves the current run, and nothing of the new one or the staged inputs
     with pytest.raises(RuntimeError, match="fact_is_large"):
         jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=10**9)
-    assert spark.read.parquet(f"{tmp_path}/activity_fact").count() == build_activity_fact(raw).count()
-    assert not list(tmp_path.glob("_rebuild-*/new"))
+    assert snapshots.current(spark, str(tmp_path)) == first
+    assert [p.name for p in (tmp_path / "runs").iterdir()] == [first["run"]]
     assert not list(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("rebuild-*"))
-    # a second rebuild takes the place of the first
+    # a second rebuild takes the place of the first; the first stays for readers until it is old
     jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=100)
-    assert spark.read.parquet(f"{tmp_path}/activity_fact").count() == build_activity_fact(raw).count()
+    second = snapshots.current(spark, str(tmp_path))
+    assert second["version"] == first["version"] + 1 and second["run"] != first["run"]
+    assert snapshots.read(spark, str(tmp_path), "activity_fact").count() == build_activity_fact(raw).count()
+    jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=100, keep=1, grace=dt.timedelta(0))
+    assert [p.name for p in (tmp_path / "runs").iterdir()] == [snapshots.current(spark, str(tmp_path))["run"]]
+    # the local file system keeps hidden checksum files beside them
+    assert [p.name for p in (tmp_path / "manifests").iterdir() if not p.name.startswith(".")] == [f"{second['version'] + 1:020d}.json"]
+
+
+def test_a_failure_between_tables_leaves_one_consistent_run(spark, raw, tmp_path, monkeypatch):
+    latest = raw["activity_base"].agg({"created_at": "max"}).first()[0].date()
+    jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=100)
+    before = snapshots.current(spark, str(tmp_path))
+    written = []
+
+    def failing(df, path, partition_by=None):
+        if path.endswith("/call_fact"):
+            raise OSError("lost the file system")
+        write_table(df, path, partition_by)
+        written.append(path)
+
+    monkeypatch.setattr(jobs, "write_table", failing)
+    with pytest.raises(RuntimeError, match="tables not built"):
+        jobs.rebuild(spark, raw, str(tmp_path), latest, min_rows=100)
+    assert written  # other tables of the failed run were written before it was removed
+    assert snapshots.current(spark, str(tmp_path)) == before
+    tables = snapshots.read_all(spark, str(tmp_path))
+    assert {p.removeprefix(str(tmp_path)).split("/")[2] for p in before["tables"].values()} == {before["run"]}
+    assert tables["activity_fact"].count() == build_activity_fact(raw).count() and tables["call_fact"].count() > 0
+    assert [p.name for p in (tmp_path / "runs").iterdir()] == [before["run"]]
+
+
+def test_manifest_versions_are_taken_once(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_all(spark, root)
+    runs = []
+    for _ in range(3):
+        run, folder = snapshots.new_run(root)
+        spark.range(3).write.parquet(f"{folder}/t")
+        runs.append(snapshots.publish(spark, root, run, ["t"]))
+    assert [m["version"] for m in runs] == [1, 2, 3] and snapshots.current(spark, root) == runs[-1]
+    with pytest.raises(FileNotFoundError, match="not written"):
+        snapshots.publish(spark, root, "nothing", ["t"])
+    assert snapshots.expire(spark, root, keep=2, grace=dt.timedelta(0)) == [runs[0]["run"]]
+    assert snapshots.read(spark, root, "t").count() == 3
 
 
 def test_partitioned_write_bounds_files_and_splits_a_large_value(spark, tmp_path):
