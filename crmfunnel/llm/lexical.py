@@ -85,7 +85,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
 
     weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", F.floor(F.lit(1000.0) * F.log((F.lit(2.0) * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long").alias("w"))
-    asked = item_terms.join(weights, "term")
+    # written, so that joins see its size: at most the items' distinct terms
+    asked = stage(item_terms.join(weights, "term"), "lexical_asked")
     strata = postings.groupBy("term", "m").agg(F.max("tf").alias("top_tf"), F.count(F.lit(1)).alias("docs"))
     sure = F.col("w") * impact(F.lit(1).cast("long"), F.col("m")) > 0
     bounds = (asked.join(strata, "term")
@@ -99,9 +100,9 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     first = bounds.filter(F.col("before") < k).select("item_id", "m")
     threshold = (_top(_scores(first, asked, postings), k).filter(F.col("rank") == k)
                  .select(F.col("item_id").alias("of_item"), F.col("score").alias("threshold")))
-    visited = (bounds.join(threshold, F.col("item_id").eqNullSafe(F.col("of_item")), "left")
-               .filter(F.col("bound") >= F.coalesce(F.col("threshold"), F.lit(0)))
-               .select("item_id", "m"))
+    visited = stage(bounds.join(threshold, F.col("item_id").eqNullSafe(F.col("of_item")), "left")
+                    .filter(F.col("bound") >= F.coalesce(F.col("threshold"), F.lit(0)))
+                    .select("item_id", "m"), "lexical_visited")
     return _top(_scores(visited, asked, postings), k).select("item_id", "rank", "doc_id", "score")
 
 
