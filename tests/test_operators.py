@@ -88,3 +88,35 @@ def test_as_of_equals_brute_force(events, spark):
 def test_counts_plan_has_no_expand(events):
     df = conditional_distinct(events, ["kind"], "key", {"a": F.col("n") > 1, "b": F.col("n") > 2})
     assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bloom_filter_keeps_every_key_and_few_others(spark):
+    from crmfunnel.operators import bloom
+    keys = spark.range(0, 20_000).select((F.col("id") * 7).alias("k"))
+    fil = bloom.build(keys, "k")
+    probe = spark.range(0, 140_000).withColumn("in", bloom_col := fil.might_contain(F.col("id")))
+    assert bloom_col is not None
+    counts = {r["member"]: r["n"] for r in probe.groupBy((F.col("id") % 7 == 0).alias("member"))
+              .agg(F.sum(F.col("in").cast("int")).alias("n")).collect()}
+    assert counts[True] == 20_000  # no key is ever dropped
+    assert counts[False] < 0.02 * 120_000
+    assert spark.range(1).select(fil.might_contain(F.lit(None).cast("long"))).first()[0] is False
+    assert bloom.size_for(0) == bloom.MIN_BITS and bloom.size_for(10**12) == bloom.MAX_BITS
+
+
+def test_orphan_extensions_leave_before_the_join(spark, tables):
+    from crmfunnel.plans import prep
+    acts = [{"id": i, "prospect_id": i % 50, "type_id": 1, "created_at": dt.datetime(2024, 6, 1)} for i in range(200)]
+    # 98 % of the extension rows have no activity
+    ext = [{"related_activity_id": i, "owner_id": i % 9, "status": "s"} for i in range(0, 200, 10)]
+    ext += [{"related_activity_id": 100_000 + i, "owner_id": 1, "status": "o"} for i in range(980)]
+    t = tables(activity_base=acts, activity_type=[{"id": 1, "activity_code": 7}], activity_extension=ext)
+    pruned = prep.unified_activity(t)
+    plain = prep.unified_activity(t, prune_orphans=False)
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, plain.collect()))
+    ext_df = t["activity_extension"].select(F.col("related_activity_id").alias("activity_id"))
+    fil = prep.bloom.build(t["activity_base"].select(F.col("id").alias("activity_id")), "activity_id")
+    reaching = ext_df.filter(fil.might_contain(F.col("activity_id"))).count()
+    assert 20 <= reaching <= 20 + 30  # the 20 matched rows and a few false positives of 980
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "substring" in text and "xxhash64" in text
