@@ -102,9 +102,11 @@ def is_assignment() -> Column:
 
 
 def _row_order() -> list[Column]:
-    """Total order of a lead's rows: time, id, then the extension row of an activity."""
-    return [F.col("created_at"), F.col("activity_id"),
-            F.xxhash64("owner_id", "extension_status", "mx_custom39")]
+    """Total order of a lead's rows: time, id, then the number of the activity's extension row.
+
+    Copies of an extension row have numbers of their own, so exactly one row of an activity sorts first.
+    """
+    return [F.col("created_at"), F.col("activity_id"), F.coalesce(F.col("extension_copy"), F.lit(0))]
 
 
 def prospect_months(rows: DataFrame, opt: FactOptions = FactOptions()) -> DataFrame:

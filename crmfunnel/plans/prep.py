@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
@@ -20,13 +20,16 @@ ASSIGNMENT_ONLY = [
 ]
 
 
-def unified_activity(t: Tables, *, prune_orphans: bool = True) -> DataFrame:
+def unified_activity(t: Tables, *, prune_orphans: bool = True, numbered: bool = False) -> DataFrame:
     """Activities with decoded type and the owner from the extension.
 
     Activities of an unknown type drop out.  Of the extension, mostly orphan rows, only
     four columns are read, and with ``prune_orphans`` a Bloom filter of the activity ids
     (:mod:`crmfunnel.operators.bloom`, built by one aggregation when this is called) drops
     nearly all orphans in the extension's scan, before the join's exchange; the rows are the same.
+    ``numbered`` adds ``extension_copy``: the number of an extension row among the rows of its activity
+    (1, 2, ... ordered by their values; NULL without one), counted in the join's own partitioning by
+    activity, so that copies of one row stay apart where rows are ordered.
     """
     base = t["activity_base"].select(
         F.col("id").alias("activity_id"), "prospect_id", "type_id", "event_id", "created_at", "updated_at",
@@ -42,6 +45,10 @@ def unified_activity(t: Tables, *, prune_orphans: bool = True) -> DataFrame:
         F.col("status").alias("extension_status"), "mx_custom39")
     if prune_orphans:
         extension = extension.filter(bloom.build(base, "activity_id").might_contain(F.col("activity_id")))
+    if numbered:
+        copies = Window.partitionBy("activity_id").orderBy(
+            *[F.col(c).asc_nulls_first() for c in ("activity_owner_id", "extension_status", "mx_custom39")])
+        extension = extension.withColumn("extension_copy", F.row_number().over(copies))
     ordered = base.columns + kinds.columns[1:] + extension.columns[1:]
     return base.join(kinds, "type_id").join(extension, "activity_id", "left").select(*ordered)
 
@@ -127,8 +134,11 @@ def assignment_activity(t: Tables) -> DataFrame:
 
 
 def activity_appended(t: Tables) -> DataFrame:
-    """Activities and assignments in one stream; columns a side lacks are NULL."""
-    activities = (unified_activity(t).withColumnRenamed("activity_owner_id", "owner_id")
+    """Activities and assignments in one stream; columns a side lacks are NULL.
+
+    ``extension_copy`` numbers the copies of an activity's extension row (see :func:`unified_activity`).
+    """
+    activities = (unified_activity(t, numbered=True).withColumnRenamed("activity_owner_id", "owner_id")
                   .drop("event_id"))
     assigned = assignment_activity(t).withColumn("owner_id", F.col("selected_user_id_assign"))
     kept = [c for c in assigned.columns if c in activities.columns or c in ASSIGNMENT_ONLY]

@@ -104,7 +104,7 @@ add_columns("p38_padded_columns", lambda e: prep.activity_appended(e.raw),
             "lead_type_score", "v_appended")
 
 # --- composite builds -------------------------------------------------------
-add("u01_activity_union", lambda e: prep.activity_appended(e.raw), "select * from v_appended")
+add("u01_activity_union", lambda e: prep.activity_appended(e.raw).drop("extension_copy"), "select * from v_appended")
 add("b01_unified_activity", lambda e: prep.unified_activity(e.raw), "select * from v_activity")
 add("b02_unified_leads", lambda e: e.leads, "select * from v_leads")
 add("b03_capture_message", lambda e: prep.unified_capture_message(e.raw), "select * from v_message")
@@ -112,7 +112,7 @@ add("b04_assignment_activity", lambda e: prep.assignment_activity(e.raw), "selec
 add_columns("b05_activity_appended", lambda e: prep.activity_appended(e.raw),
             "activity_id prospect_id created_at updated_at created_by_id activity_type_activity_code owner_id "
             "selected_user_id_assign assignment_type", "v_appended")
-add("b06_activity_with_source", lambda e: e.stream, "select * from v_stream")
+add("b06_activity_with_source", lambda e: e.stream.drop("extension_copy"), "select * from v_stream")
 add("b07_call_detail", lambda e: e.calls, "select * from v_call")
 add("b08_activity_fact", lambda e: e.build(), "select * from f_fact")
 add("b08_first_capture_placement",

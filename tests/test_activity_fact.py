@@ -257,3 +257,19 @@ def test_row_count_equals_stream_after_junk(spark, world, fact):
     from crmfunnel.plans.activity_fact import classified
     from crmfunnel.plans.prep import activity_with_source
     assert classified(activity_with_source(world)).count() + 1 == sum(map(len, fact.values()))  # one star copy
+
+
+@pytest.mark.parametrize("opt", [FactOptions(), FactOptions(sale_placement="first_capture_row")])
+def test_sale_once_where_extension_rows_are_copied(spark, opt):
+    from pyspark.sql import functions as F
+
+    from crmfunnel.sources.surrogate import raw_tables
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    copied = raw | {"activity_extension": raw["activity_extension"].unionAll(raw["activity_extension"])}
+
+    def sales(t):
+        fact = build_activity_fact(t, opt)
+        return fact.filter(F.col("sale_value").isNotNull()).count(), fact.agg(F.sum("sale_value")).first()[0]
+
+    once, twice = sales(raw), sales(copied)
+    assert once[0] > 0 and twice == once
