@@ -80,12 +80,28 @@ def owner_as_of_capture(fact: DataFrame) -> DataFrame:
 
 
 def cohort_lag(fact: DataFrame, dims: Sequence[str], months: int = 5) -> DataFrame:
-    """Enrolled leads per cohort and month lag, as columns M0..Mn."""
-    flags = {f"M{i}": F.col("Enroll_Month_Bucket_Capped") == f"M+{i}" for i in range(months + 1)}
-    flags = {"Leads": F.col("activity_type_category") == "Lead Capture", **flags}
+    """Enrolled leads per cohort and month lag, as columns M0..Mn; later lags are counted in ``M_later``."""
+    bucket = F.col("Enroll_Month_Bucket_Capped")
+    shown = [f"M+{i}" for i in range(months + 1)]
+    flags = {f"M{i}": bucket == f"M+{i}" for i in range(months + 1)}
+    flags = {"Leads": F.col("activity_type_category") == "Lead Capture", **flags,
+             "M_later": bucket.startswith("M+") & ~bucket.isin(shown)}
     return conditional_distinct(fact, dims, "lead_id", flags)
 
 
+def cohort_lag_long(fact: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Enrolled leads per cohort and month lag as long rows (dims, ``lag``, ``enrolled``): every lag, none cut.
+
+    The distinct count is made in two steps (one row per cohort, lag and lead, then counts), so a cohort
+    that holds most leads is combined in the map tasks.
+    """
+    bucket = F.col("Enroll_Month_Bucket_Capped")
+    lag = F.substring(bucket, 3, 10).cast("int")
+    per_lead = (fact.filter(bucket.startswith("M+") & F.col("lead_id").isNotNull())
+                .select(*dims, lag.alias("lag"), "lead_id").distinct())
+    return per_lead.groupBy(*dims, "lag").agg(F.count(F.lit(1)).alias("enrolled"))
+
+
 def weekly_cohorts(fact: DataFrame, weeks: int = 5) -> DataFrame:
     """Captured and enrolled leads by the week of their first capture.
 
@@ -117,6 +133,21 @@ def daily_trend(fact: DataFrame) -> DataFrame:
         "activity_date_only", "activity_month_start", "day_no", "leads", "leads_mtd", "leads_mtd_prior")
 
 
+def daily_distinct_trend(fact: DataFrame) -> DataFrame:
+    """Leads captured for the first time in their month, per day, and their running count: distinct leads to date.
+
+    ``daily_trend`` sums daily distinct counts, so a lead captured on two days of a month counts twice
+    there; here each lead is marked on its first day of the month only (a min per lead and month, combined
+    in the map tasks), and the running sum over the month's days (at most 31 rows) counts it once.
+    """
+    firsts = (fact.filter((F.col("activity_type_category") == "Lead Capture") & F.col("lead_id").isNotNull())
+              .groupBy("activity_month_start", "lead_id").agg(F.min(F.to_date("created_at")).alias("activity_date_only")))
+    daily = firsts.groupBy("activity_month_start", "activity_date_only").agg(F.count(F.lit(1)).alias("new_leads"))
+    running = Window.partitionBy("activity_month_start").orderBy("activity_date_only").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return daily.withColumn("leads_mtd_distinct", F.sum("new_leads").over(running))
+
+
 def top_owners(fact: DataFrame, n: int) -> DataFrame:
     """Leaderboard: owners by enrolled leads."""
     flags = {"enrolls": F.col("Is_Valid_Enroll") == 1,

@@ -54,7 +54,14 @@ _M = ", ".join(f"count(distinct case when Enroll_Month_Bucket_Capped = 'M+{i}' t
 add("e06_cohort_lag",
     lambda e: extras.cohort_lag(e.fact, ["activity_month_start", "source_attribution_final"]),
     f"""select activity_month_start, source_attribution_final, count(distinct case when {CAP} then lead_id end) as Leads,
-        {_M} from f_fact group by 1, 2""")
+        {_M}, count(distinct case when Enroll_Month_Bucket_Capped like 'M+%'
+          and Enroll_Month_Bucket_Capped not in ('M+0', 'M+1', 'M+2', 'M+3', 'M+4', 'M+5') then lead_id end) as M_later
+        from f_fact group by 1, 2""")
+add("e06_cohort_lag_long",
+    lambda e: extras.cohort_lag_long(e.fact, ["activity_month_start", "source_attribution_final"]),
+    """select activity_month_start, source_attribution_final, cast(substr(Enroll_Month_Bucket_Capped, 3) as integer) as lag,
+        count(distinct lead_id) as enrolled
+        from f_fact where Enroll_Month_Bucket_Capped like 'M+%' and lead_id is not null group by 1, 2, 3""")
 _W = ", ".join(f"count(case when lag = {i} then 1 end) as W{i}" for i in range(5)) + (
     ", count(case when lag < 0 then 1 end) as W_before, count(case when lag > 4 then 1 end) as W_later")
 add("e06_weekly_cohorts", lambda e: extras.weekly_cohorts(e.fact),
@@ -69,6 +76,12 @@ add("e07_daily_trend", lambda e: extras.daily_trend(e.fact),
           as leads_mtd from d)
         select r.*, p.leads_mtd as leads_mtd_prior from r left join r p on p.day_no = r.day_no
           and cast(p.activity_month_start + interval 1 month as date) = r.activity_month_start""")
+add("e07_daily_distinct_mtd", lambda e: extras.daily_distinct_trend(e.fact),
+    f"""with f as (select activity_month_start, lead_id, min(cast(created_at as date)) as activity_date_only
+          from f_fact where {CAP} and lead_id is not null group by 1, 2),
+        d as (select activity_month_start, activity_date_only, count(*) as new_leads from f group by 1, 2)
+        select *, cast(sum(new_leads) over (partition by activity_month_start order by activity_date_only) as bigint)
+          as leads_mtd_distinct from d""")
 add("e08_top_owners", lambda e: extras.top_owners(e.fact, 3),
     f"""select bda_id, bda_name, count(distinct case when Is_Valid_Enroll = 1 then lead_id end) as enrolls,
         count(distinct case when {CAP} then lead_id end) as leads from f_fact where bda_id is not null
