@@ -6,15 +6,21 @@ terms that the items ask for are written once with ``(term, m, tf)``; a posting'
 ``(10^9 * tf) div (1000 * tf + 8 * m)`` depends on ``tf`` and ``m`` alone, so documents of one stratum
 (equal ``m``) that share a ``tf`` share it.  A stratum's bound for an item sums, over the item's terms,
 weight times the impact of the largest ``tf`` in that stratum: no document of the stratum can score more.
-For each item the strata are visited by falling bound:
-
-1. the first strata, until they surely hold ``k`` documents of positive score (the most documents of a
-   term with positive weight, summed), are scored exactly; their ``k``-th score is a threshold;
-2. all other strata whose bound reaches that threshold are scored exactly as well; the rest cannot hold a
-   document of the top ``k``, ties included.
-
-Scores are sums per (item, document) over joins of narrow rows; the top ``k`` is taken per (item,
+Documents are visited per item through these bounds:
+
+1. a threshold: the documents that hold the item's rarest terms (fewest documents first, up to the first
+   term held by ``k`` documents, so that there are ``k`` of them where the item has ``k`` matches) are scored
+   exactly; their ``k``-th score is a score that ``k`` documents reach;
+2. in each stratum the item's terms are ordered by bound; the terms whose bounds, with all smaller ones,
+   stay below the threshold can not lift a document to it alone.  Only documents of the stratum with
+   another ("essential") term are candidates; a stratum whose whole bound is below the threshold has none;
+3. candidates are scored exactly over all the item's terms (only their postings meet the items' terms),
+   and the top ``k`` is taken, ties included.
+
+Scores are sums per (item, document) over joins of narrow rows, with the postings of candidates only; the top ``k`` is taken per (item,
 stratum, salt) and then per item, so that a stratum that holds most documents is ranked by many tasks.
+Terms of weight 0 add nothing and are left out.  Small tables (the items' terms, thresholds, essential terms,
+candidates) are written, so that joins with the postings see their size and broadcast them within Spark's limit.
 
 Terms are the maximal matches of ``TERM``; only A-Z are lower-cased.  A term's weight is
 ``floor(1000 * ln((2N + 2) / (2 df + 1)))`` in doubles, everything else is 64-bit integer arithmetic.
@@ -80,41 +86,52 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     m = F.lit(10) + _div(F.lit(90) * F.col("n") * F.lit(big_n), F.lit(big_l))
     postings = stage(
         rows.join(vocabulary, "term", "left_semi").groupBy("term", "row", "doc_id", "n").agg(F.count(F.lit(1)).alias("tf"))
-        .select("term", m.cast("long").alias("m"), "tf", "row", "doc_id").repartition("row"),
+        .select("term", m.cast("long").alias("m"), "tf", "row", "doc_id"),
         "lexical_postings")
 
     weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
-        "term", F.floor(F.lit(1000.0) * F.log((F.lit(2.0) * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long").alias("w"))
+        "term", "df", F.floor(F.lit(1000.0) * F.log((F.lit(2.0) * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long").alias("w"))
     # written, so that joins see its size: at most the items' distinct terms
-    asked = stage(item_terms.join(weights, "term"), "lexical_asked")
-    strata = postings.groupBy("term", "m").agg(F.max("tf").alias("top_tf"), F.count(F.lit(1)).alias("docs"))
-    sure = F.col("w") * impact(F.lit(1).cast("long"), F.col("m")) > 0
-    bounds = (asked.join(strata, "term")
-              .groupBy("item_id", "m")
-              .agg(F.sum(F.col("w") * impact(F.col("top_tf"), F.col("m"))).alias("bound"),
-                   F.coalesce(F.max(F.when(sure, F.col("docs"))), F.lit(0)).alias("sure_docs"))
-              .filter(F.col("bound") > 0))
-    by_bound = Window.partitionBy("item_id").orderBy(F.col("bound").desc(), "m").rowsBetween(Window.unboundedPreceding, 0)
-    bounds = stage(bounds.withColumn("before", F.sum("sure_docs").over(by_bound) - F.col("sure_docs")), "lexical_bounds")
-
-    first = bounds.filter(F.col("before") < k).select("item_id", "m")
-    threshold = (_top(_scores(first, asked, postings), k).filter(F.col("rank") == k)
-                 .select(F.col("item_id").alias("of_item"), F.col("score").alias("threshold")))
-    visited = stage(bounds.join(threshold, F.col("item_id").eqNullSafe(F.col("of_item")), "left")
-                    .filter(F.col("bound") >= F.coalesce(F.col("threshold"), F.lit(0)))
-                    .select("item_id", "m"), "lexical_visited")
-    return _top(_scores(visited, asked, postings), k).select("item_id", "rank", "doc_id", "score")
-
-
-def _scores(strata: DataFrame, asked: DataFrame, postings: DataFrame) -> DataFrame:
-    """Exact scores of the documents of the given (item, stratum) rows.
-
-    Postings meet the items' terms (small) and then the visited strata (small); a document's postings lie in
-    one partition, so its contributions are summed per item before the exchange.
+    asked = stage(item_terms.join(weights, "term").filter(F.col("w") > 0), "lexical_asked")
+    strata = postings.groupBy("term", "m").agg(F.max("tf").alias("top_tf"))
+
+    # a threshold per item: the k-th exact score of the documents that hold its rarest terms
+    rare = Window.partitionBy("item_id").orderBy("df", "term").rowsBetween(Window.unboundedPreceding, -1)
+    first = asked.withColumn("before", F.coalesce(F.max("df").over(rare), F.lit(0))).filter(F.col("before") < k)
+    found = _candidates(postings.join(first.select("term"), "term", "left_semi"), first)
+    threshold = stage(_top(_exact(found, asked, postings), k).filter(F.col("rank") == k)
+                      .select(F.col("item_id").alias("of_item"), F.col("score").alias("threshold")), "lexical_threshold")
+
+    # per (item, stratum): terms by bound, ascending; those whose bounds with all smaller ones stay below the
+    # threshold can not lift a document to it alone, so only documents with another term are candidates
+    by_bound = Window.partitionBy("item_id", "m").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
+    essential = stage(
+        asked.join(strata, "term").withColumn("bound", F.col("w") * impact(F.col("top_tf"), F.col("m")))
+        .join(threshold, F.col("item_id").eqNullSafe(F.col("of_item")), "left")
+        .withColumn("reach", F.sum("bound").over(by_bound))
+        .filter((F.col("bound") > 0) & (F.col("reach") >= F.coalesce(F.col("threshold"), F.lit(0))))
+        .select("item_id", "m", "term"), "lexical_essential")
+    hits = _candidates(postings.join(essential, ["term", "m"]), essential).unionByName(found)
+    return _top(_exact(hits.distinct(), asked, postings), k).select("item_id", "rank", "doc_id", "score")
+
+
+def _candidates(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(item, row) of the postings that hold a wanted term of the item, written."""
+    if "item_id" not in postings.columns:
+        postings = postings.join(wanted.select("item_id", "term"), "term")
+    return stage(postings.select("item_id", "row").distinct(), "lexical_candidates")
+
+
+def _exact(candidates: DataFrame, asked: DataFrame, postings: DataFrame) -> DataFrame:
+    """Exact scores of candidate (item, row) pairs.
+
+    Candidates meet the postings of their documents (a join on the row, which Spark broadcasts where the
+    candidates are few and else makes by one exchange of postings and candidates), then the item's terms;
+    the sums per pair need no further exchange where the join was partitioned by the row.
     """
-    visit = strata.select(F.col("item_id").alias("of_item"), F.col("m").alias("of_m"))
-    hits = postings.join(asked, "term").join(
-        visit, F.col("item_id").eqNullSafe(F.col("of_item")) & (F.col("m") == F.col("of_m")), "left_semi")
+    terms_of = asked.select(F.col("item_id").alias("of_item"), F.col("term").alias("of_term"), "w")
+    hits = postings.join(candidates, "row").join(
+        terms_of, F.col("item_id").eqNullSafe(F.col("of_item")) & (F.col("term") == F.col("of_term")))
     return (hits.groupBy("item_id", "m", "row", "doc_id")
             .agg(F.sum(F.col("w") * impact(F.col("tf"), F.col("m"))).alias("score"))
             .filter(F.col("score") > 0))
