@@ -329,3 +329,10 @@ def test_pseudonyms(spark, docs, empty):
     assert pii.pseudonymise(empty, "k").count() == 0
     plan = pii.pseudonymise(docs, "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_one_of_each_class_stays_beside_columns_of_internal_names(spark, docs):
+    clashing = docs.select("*", *[F.lit(1).alias(n) for n in ("aside", "many", "any", "d", "id", "t", "stays", "found")])
+    kept = ngram_join.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    assert sorted(rows_of(kept, "doc_id"), key=str) == sorted(rows_of(ngram_join.keep_one(docs), "doc_id"), key=str)
