@@ -62,7 +62,8 @@ def _within(size: Column, before: Column, budget: Column) -> Column:
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 17,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``doc_id, source, size, source_size, target, taken`` of every row."""
-    return _copies(docs, weights, share, repeats, seed, id_col, text_col, source_col).drop("copies", "copy")
+    return _copies(docs, weights, share, repeats, seed, id_col, text_col, source_col).drop(
+        "copies", "copy", "key", "before", "epochs", "rest")
 
 
 def _copies(docs: DataFrame, weights, share: float, repeats: int, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -95,7 +96,8 @@ def _copies(docs: DataFrame, weights, share: float, repeats: int, seed: int, id_
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
     rest = budget - epochs * F.col("source_size")
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", "copies", "copy",
+        "doc_id", "source", "size", "source_size", "target", "copies", "copy", "key", "before",
+        epochs.alias("epochs"), rest.alias("rest"),
         (epochs * F.col("size") + _within(F.col("size"), F.col("before"), rest)).cast("long").alias("taken"))
 
 
@@ -106,21 +108,45 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
     Of the document at which a source's budget is cut the first words are taken, joined by blanks; its length
     in ``length_col`` is kept up.  Rows with equal id, source and size are numbered by the hash of their texts, and
     take what :func:`mix` takes of the copy of that number.
+
+    Texts are never joined to the mix: per source, its whole epochs and the place in key order (key, id, size,
+    copy) where its budget is crossed, with the words taken there, are one row, broadcast while there are at
+    most ``MANY_SOURCES`` sources.  Each other row compares its own key with its source's cut in the scan: before
+    it, taken once more; at it, in part.  Only rows that repeat an id, source and size meet the mix by a join.
     """
     names = docs.columns
     text = F.col(f"`{text_col}`")
-    taken = stage(_copies(docs, weights, share, repeats, seed, id_col, text_col, source_col).select(
+    placed = stage(_copies(docs, weights, share, repeats, seed, id_col, text_col, source_col), "placed")
+    # per source: whole epochs and the place in key order where its budget is crossed (a few bytes a source)
+    order = F.struct("key", "doc_id", "size", "copy")
+    crossing = (placed.filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("size") >= F.col("rest")))
+                .select("source", order.alias("cut"), (F.col("rest") - F.col("before")).alias("cut_words")))
+    cuts = stage(_cuts(placed, crossing), "cuts")
+    if cuts.count() <= MANY_SOURCES:
+        cuts = F.broadcast(cuts)
+    taken = placed.filter("copies > 1").select(
         F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"),
-        "copies", F.col("copy").alias("m_copy"), F.col("taken").alias("m_taken")), "taken")
+        "copies", F.col("copy").alias("m_copy"), F.col("taken").alias("m_taken"))
     every = docs.select(F.struct("*").alias("d"), word_count(text).alias("size"), F.col(f"`{id_col}`").alias("id"),
                         F.col(f"`{source_col}`").alias("source"))
     same = F.col("id").eqNullSafe(F.col("m_id")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("size") == F.col("m_size"))
     own = ("d", "size", "m_taken")
-    rows = every.join(taken.filter("copies = 1 and m_taken > 0"), same).select(*own)
-    repeated = taken.filter("copies > 1 and m_copy = 0").select("m_id", "m_source", "m_size")
+    repeated = stage(taken.filter("m_copy = 0").select("m_id", "m_source", "m_size"), "repeated")
+    # a row that is no copy decides from its own key whether its source's cut lies after it
+    if repeated.count() <= MANY_SOURCES:
+        repeated = F.broadcast(repeated)
+    single = every.join(repeated, same, "left_anti")
+    # the same key as the mix's, from the id as it is
+    mine = F.struct(F.xxhash64(F.col("id"), F.col("size"), F.lit(seed)).alias("key"), F.col("id").alias("doc_id"),
+                    F.col("size").alias("size"), F.lit(0).cast(placed.schema["copy"].dataType).alias("copy"))
+    extra = (F.when(F.col("cut").isNull(), F.lit(0)).when(mine < F.col("cut"), F.col("size"))
+             .when(mine == F.col("cut"), F.col("cut_words")).otherwise(F.lit(0)))
+    rows = (single.join(cuts, F.col("source").eqNullSafe(F.col("c_source")))
+            .withColumn("m_taken", (F.col("epochs") * F.col("size") + extra).cast("long"))
+            .filter("m_taken > 0").select(*own))
     if not repeated.isEmpty():
         copies = _numbered(every.join(repeated, same, "left_semi"), text_col)
-        rows = rows.unionByName(copies.join(taken.filter("copies > 1 and m_taken > 0"), same & (F.col("copy") == F.col("m_copy")))
+        rows = rows.unionByName(copies.join(taken.filter("m_taken > 0"), same & (F.col("copy") == F.col("m_copy")))
                                 .select(*own))
     times = F.ceil(F.col("m_taken") / F.col("size"))
     rows = rows.withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), times)))
@@ -140,6 +166,14 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
     return rows.select(*out)
 
 
+def _cuts(placed: DataFrame, crossing: DataFrame) -> DataFrame:
+    """One row per source: ``epochs``, and the order and words of the row at which its budget is crossed (null if none)."""
+    epochs = placed.groupBy("source").agg(F.max("epochs").alias("epochs"))
+    crossed = crossing.select(F.col("source").alias("x_source"), "cut", "cut_words")
+    return epochs.join(crossed, F.col("source").eqNullSafe(F.col("x_source")), "left").select(
+        F.col("source").alias("c_source"), "epochs", "cut", "cut_words")
+
+
 def _numbered(rows: DataFrame, text_col: str) -> DataFrame:
     """Adds ``copy``: numbers from 0 of rows with equal ``id, source, size``, in order of the hash of their texts.
 

@@ -336,3 +336,23 @@ def test_one_of_each_class_stays_beside_columns_of_internal_names(spark, docs):
     kept = ngram_join.keep_one(clashing)
     assert kept.columns == clashing.columns
     assert sorted(rows_of(kept, "doc_id"), key=str) == sorted(rows_of(ngram_join.keep_one(docs), "doc_id"), key=str)
+
+
+def test_the_mix_shuffles_no_text(spark):
+    # rows that repeat an id are numbered with their texts; here ids are unique, and the input is no exchange
+    seen, rows = set(), []
+    for r in base_rows():
+        if r[0] not in seen:
+            seen.add(r[0])
+            rows.append((*r, 0.5, 9, "x", 1, "t", 2))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = mixing.mixed(docs, length_col="n_chars")
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    assert all(not re.search(r"\b(text|d)#", cols) for cols in exchanges), exchanges
