@@ -120,3 +120,14 @@ def test_orphan_extensions_leave_before_the_join(spark, tables):
     assert 20 <= reaching <= 20 + 30  # the 20 matched rows and a few false positives of 980
     text = pruned._jdf.queryExecution().executedPlan().toString()
     assert "substring" in text and "xxhash64" in text
+
+
+def test_bloom_filter_of_many_keys_is_in_no_plan_text(spark):
+    from crmfunnel.operators import bloom
+    keys = spark.range(0, 3_000).select((F.col("id") * 7).alias("k"))
+    fil = bloom.build(keys, "k", keys=1_000_000)  # 2 MB
+    df = spark.range(0, 21_000).filter(fil.might_contain(F.col("id")))
+    assert 3_000 <= df.count() <= 3_010
+    assert df.filter("id % 7 = 0").count() == 3_000
+    query = df._jdf.queryExecution()
+    assert max(len(query.optimizedPlan().toString()), len(query.executedPlan().toString())) < 100_000
