@@ -11,7 +11,7 @@ needs a cosine of at least ``t / (|q| m)`` with the query, its local threshold:
 * a low threshold prunes by length alone: vectors are in order of length, and those too short to
   reach ``t`` at cosine 1 are cut off.
 
-What is left is verified by the exact integer product.  ``t`` rises as blocks are read.
+What is left is verified by the exact integer product, made at once for all queries of a block that keep many rows.  ``t`` rises as blocks are read.
 
 Components are ``floor(scale * x)``.  Defined results: vectors that are null, empty or hold a null or
 non-finite component, and rows without an id, take no part; vectors of another dimension than the
@@ -38,6 +38,8 @@ SCALE = 1024
 BLOCK, BUCKETS = 2048, 256
 #: Local thresholds from here on prune by coordinates.
 STEEP, FOCUS = 0.8, 4
+#: A query that more than this part of a block's rows survive is multiplied together with the others of its block.
+SHARED = 16
 _LIMIT = 2 ** 62
 
 
@@ -45,13 +47,13 @@ def quantised(x: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(SCALE * x), -_LIMIT, _LIMIT).astype("i8")
 
 
-def _products(q: np.ndarray, vecs: np.ndarray) -> np.ndarray:
-    """Exact inner products; beyond what a double holds exactly, by unbounded integers."""
-    size = float(np.abs(q).max(initial=0)) * float(np.abs(vecs).max(initial=0)) * max(1, len(q))
+def _products(qs: np.ndarray, vecs: np.ndarray) -> np.ndarray:
+    """Exact inner products (queries x rows); beyond what a double holds exactly, by unbounded integers."""
+    size = float(np.abs(qs).max(initial=0)) * float(np.abs(vecs).max(initial=0)) * max(1, qs.shape[1])
     if size < 2 ** 53:
-        return (vecs.astype("f8") @ q.astype("f8")).astype("i8")
-    exact = vecs.astype(object) @ q.astype(object)
-    return np.array([min(max(int(x), -2 ** 63), 2 ** 63 - 1) for x in exact], "i8")
+        return (qs.astype("f8") @ vecs.astype("f8").T).astype("i8")
+    exact = qs.astype(object) @ vecs.astype(object).T
+    return np.array([min(max(int(x), -2 ** 63), 2 ** 63 - 1) for x in exact.ravel()], "i8").reshape(exact.shape)
 
 
 def _survivors(q: np.ndarray, q_norm: float, unit: np.ndarray, norms: np.ndarray, bound: float) -> np.ndarray:
@@ -85,11 +87,15 @@ def _search(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
             bounds = np.frombuffer(row.q_bounds, "f8")
             norms = np.sqrt((vecs.astype("f8") ** 2).sum(1))
             unit = vecs / np.where(norms > 0, norms, 1)[:, None]
-            for query, q, bound in zip(q_ids, q_vecs, bounds, strict=True):
-                at = _survivors(q, float(np.sqrt((q.astype("f8") ** 2).sum())), unit, norms, bound)
-                at = at[ids[at] != query]
-                scores = _products(q, vecs[at])
-                near = scores >= bound
+            lengths = np.sqrt((q_vecs.astype("f8") ** 2).sum(1))
+            found = [_survivors(q, float(l), unit, norms, bound) for q, l, bound in zip(q_vecs, lengths, bounds, strict=True)]
+            # queries that many rows survive share one product, over the rows of the longest list
+            many = np.array([len(at) > len(ids) // SHARED for at in found])
+            upto = max((int(at[-1]) + 1 for at, m in zip(found, many, strict=True) if m), default=0)
+            shared = iter(_products(q_vecs[many], vecs[:upto]))
+            for query, q, bound, at, m in zip(q_ids, q_vecs, bounds, found, many, strict=True):
+                scores = next(shared)[at] if m else _products(q[None], vecs[at])[0]
+                near = (scores >= bound) & (ids[at] != query)
                 out += [(int(query), i, int(s)) for i, s in top_of(scores[near], ids[at][near], k)]
         yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
@@ -102,9 +108,9 @@ def _bounded(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
             ids, vecs = np.frombuffer(row.ids, "i8"), np.frombuffer(row.vecs, "i8").reshape(-1, row.dim)
             q_ids, q_vecs = np.frombuffer(row.q_ids, "i8"), np.frombuffer(row.q_vecs, "i8").reshape(-1, row.dim)
             bounds = np.full(len(q_ids), -np.inf)
-            for i, (query, q) in enumerate(zip(q_ids, q_vecs, strict=True)):
+            for i, (query, scores) in enumerate(zip(q_ids, _products(q_vecs, vecs), strict=True)):
                 other = ids != query
-                found = top_of(_products(q, vecs[other]), ids[other], k)
+                found = top_of(scores[other], ids[other], k)
                 if len(found) == k:
                     bounds[i] = float(found[-1][1])
             lengths = np.sqrt((q_vecs.astype("f8") ** 2).sum(1))

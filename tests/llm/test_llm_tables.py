@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,3 +209,19 @@ def test_pipeline_stages_on_odd_and_empty_tables(spark, tmp_path):
             assert docs.columns == [c.split()[0] for c in schema.split(", ")]
         packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
         assert (packed.count() > 0) == bool(rows)
+
+
+def test_queries_of_a_block_share_one_product(monkeypatch):
+    rng = np.random.default_rng(7)
+    vecs, asked = rng.integers(-900, 900, (400, 8)), rng.integers(-900, 900, (40, 8))
+    vecs = vecs[np.argsort(-(vecs ** 2).sum(1))]
+    row = {"ids": np.arange(400).tobytes(), "vecs": vecs.tobytes(), "dim": 8, "q_ids": np.arange(40).tobytes(),
+           "q_vecs": asked.tobytes(), "q_bounds": np.full(40, 1000.0).tobytes()}
+    calls, plain = [], topk._products
+    monkeypatch.setattr(topk, "_products", lambda *a: calls.append(1) or plain(*a))
+    got = pd.concat(topk._search(iter([pd.DataFrame([row])]), 3))
+    assert len(calls) < 20
+    scores = asked @ vecs.T
+    for q in range(40):
+        best = sorted(((-int(scores[q, i]), i) for i in range(400) if i != q and scores[q, i] >= 1000))[:3]
+        assert sorted(zip(-got[got.query_id == q].score, got[got.query_id == q].vec_id)) == best
