@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from crmfunnel.llm import ann, chat, quality, secret_scan, topk, warc
+from crmfunnel.llm.common import small_batches
 from crmfunnel.llm.queries import ORACLE_SQL, QUERIES
 from crmfunnel.verify.compare import connect, difference
 
@@ -225,3 +226,13 @@ def test_queries_of_a_block_share_one_product(monkeypatch):
     for q in range(40):
         best = sorted(((-int(scores[q, i]), i) for i in range(400) if i != q and scores[q, i] >= 1000))[:3]
         assert sorted(zip(-got[got.query_id == q].score, got[got.query_id == q].vec_id)) == best
+
+
+def test_batches_of_long_texts_are_bounded_in_bytes(spark):
+    def sizes_of(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"size": [int(pdf["text"].str.len().sum())]})
+
+    texts = spark.range(0, 60, numPartitions=1).select(F.expr("repeat('0123456789abcdef', 40000 + int(id))").alias("text"))
+    got = small_batches(texts).mapInPandas(sizes_of, "size long").agg(F.max("size"), F.sum("size")).first()
+    assert got[0] < 16_000_000 and got[1] == sum(16 * (40000 + i) for i in range(60))
