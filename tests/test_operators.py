@@ -131,3 +131,15 @@ def test_bloom_filter_of_many_keys_is_in_no_plan_text(spark):
     assert df.filter("id % 7 = 0").count() == 3_000
     query = df._jdf.queryExecution()
     assert max(len(query.optimizedPlan().toString()), len(query.executedPlan().toString())) < 100_000
+
+
+def test_plan_texts_of_the_activity_stream_stay_small_with_a_large_filter(spark, tables, monkeypatch):
+    from crmfunnel.plans import prep
+    monkeypatch.setattr(prep.bloom, "MIN_BITS", 22)  # 512 KB, as for 400,000 activities
+    acts = [{"id": i, "prospect_id": i % 5, "type_id": 1, "created_at": dt.datetime(2024, 6, 1)} for i in range(20)]
+    ext = [{"related_activity_id": i, "owner_id": 1, "status": "s"} for i in range(40)]
+    t = tables(activity_base=acts, activity_type=[{"id": 1, "activity_code": 7}], activity_extension=ext)
+    for df in (prep.unified_activity(t), prep.activity_appended(t), prep.activity_with_source(t)):
+        assert df.count() == 20
+        query = df._jdf.queryExecution()
+        assert max(len(query.optimizedPlan().toString()), len(query.executedPlan().toString())) < 200_000
