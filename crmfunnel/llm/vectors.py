@@ -72,14 +72,17 @@ def pairs(queries: DataFrame, blocks: DataFrame, count: int, per_task: int = 8)
 
     ``blocks`` are numbered from 0 to ``count - 1`` in ``b``.  A block meets the query blocks in
     groups of ``per_task``, so a task's work is bounded too.
+
+    Both sides repeat their blocks, but Spark estimates their size from the files, before the repeats: without the
+    hint a small file of queries is broadcast, and the driver gets every query block once per block of rows.
     """
     asked = queries.select(*[F.col(c).alias(c if c == "q" else f"q_{c}") for c in queries.columns])
     groups = max(1, -(-queries.count() // per_task))
     asked = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).withColumn(
         "g", F.pmod(F.col("q"), F.lit(groups)))
     spread = blocks.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    return asked.join(spread, (asked["b"] == spread["b"]) & (asked["g"] == spread["g"])
-                      & (asked["q_dim"] == spread["dim"])).drop(asked["b"]).drop(asked["g"])
+    met = (asked["b"] == spread["b"]) & (asked["g"] == spread["g"]) & (asked["q_dim"] == spread["dim"])
+    return asked.hint("merge").join(spread, met).drop(asked["b"]).drop(asked["g"])
 
 
 def best(found: DataFrame, k: int) -> DataFrame:

@@ -236,3 +236,20 @@ def test_batches_of_long_texts_are_bounded_in_bytes(spark):
     texts = spark.range(0, 60, numPartitions=1).select(F.expr("repeat('0123456789abcdef', 40000 + int(id))").alias("text"))
     got = small_batches(texts).mapInPandas(sizes_of, "size long").agg(F.max("size"), F.sum("size")).first()
     assert got[0] < 16_000_000 and got[1] == sum(16 * (40000 + i) for i in range(60))
+
+
+def test_pairs_of_blocks_are_never_sent_to_the_driver(spark):
+    from crmfunnel.llm import vectors
+    data = b"\0" * 512
+    blocks = spark.range(40).selectExpr("id as b", "2 as dim", "1 as n", "1.0D as top", "binary('x') as ids", "binary('y') as vecs")
+    queries = spark.createDataFrame([(q, 2, 1, 1.0, data, data) for q in range(20)],
+                                    "q long, dim int, n int, top double, ids binary, vecs binary")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+        met = vectors.pairs(queries, blocks, 40)
+        assert met.select("q", "b").distinct().count() == met.count() == 800
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
