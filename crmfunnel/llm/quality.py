@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lazily, stage, text_of
+from .common import give_back, lazily, stage, text_of
 
 #: Share of the pooled covariance, then of the identity; the posterior is tempered, as statistics are not independent normals.
 POOLED, IDENTITY, TEMPER = 0.2, 0.02, 0.25
@@ -166,7 +166,7 @@ def train(described: DataFrame, labels: DataFrame, label_col: str = "quality", i
     known = (labels.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{label_col}`").cast("int").alias("label"))
              .filter(F.col("label").isin(0, 1) & ~held_out(F.col("id"))).dropDuplicates(["id", "label"]))
     rows = described.join(known, described["doc_id"] == known["id"]).select("label", "x")
-    sums = rows.mapInPandas(_moments, "label int, i int, value double").groupBy("label", "i").agg(F.sum("value").alias("value"))
+    sums = rows.mapInPandas(lazily(_moments), "label int, i int, value double").groupBy("label", "i").agg(F.sum("value").alias("value"))
     d = len(STATISTICS)
     values = np.zeros((2, 1 + d + d * d))
     for r in sums.collect():  # two classes of 1 + d + d * d sums
@@ -176,7 +176,7 @@ def train(described: DataFrame, labels: DataFrame, label_col: str = "quality", i
 
 def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, x``: the statistics of every row, written once."""
-    return stage(text_of(docs, id_col, text_col).mapInPandas(_describe, "doc_id long, x array<double>"), "statistics")
+    return stage(text_of(docs, id_col, text_col).mapInPandas(lazily(_describe), "doc_id long, x array<double>"), "statistics")
 
 
 def classify(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
@@ -198,6 +198,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(t) for t in texts]).reshape(len(texts), -1)))
+        scores = pd.Series(model.score(np.array([statistics(t) for t in texts]).reshape(len(texts), -1)))
+        give_back()
+        return scores
 
     return docs.filter(score(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) >= threshold)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import compile_rules, dead_states, rows_of
-from .common import lazily, small_batches, text_of
+from .common import give_back, lazily, small_batches, text_of
 
 
 @dataclass(frozen=True)
@@ -168,6 +168,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "te
     def clean(texts: pd.Series) -> pd.Series:
         # null where nothing was found: such texts don't travel back
         found = [spans_of(t, rules) for t in texts]
+        give_back()
         return pd.Series([masked(t, s) if s else None for t, s in zip(texts, found, strict=True)], dtype=object)
 
     text = F.col(f"`{text_col}`")

@@ -253,3 +253,23 @@ def test_pairs_of_blocks_are_never_sent_to_the_driver(spark):
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_task_gives_its_freed_memory_back():
+    from pathlib import Path
+
+    from crmfunnel.llm.common import lazily
+    pins = []
+
+    def resident():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+    def work(batches):
+        for b in batches:
+            blocks = [np.ones(1000) for _ in range(20_000)]  # 160 MB of the heap, under a block that stays
+            pins.append(np.ones(1000))
+            yield b + len(blocks)
+
+    before = resident()
+    assert list(lazily(work)(iter([1, 2]))) == [20_001, 20_002]
+    assert resident() - before < 80
