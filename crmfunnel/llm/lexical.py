@@ -46,6 +46,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 K = 10
 #: Tasks that rank one (item, stratum) before the ranks per item.
 SALT = 16
+#: Rows of a file of the items' terms.
+FILE_ROWS = 1 << 16
 
 
 def terms(text: Column) -> Column:
@@ -81,18 +83,21 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     item_terms = q.select("item_id", F.explode(terms(F.col("text"))).alias("term")).distinct()
     vocabulary = item_terms.select("term").distinct()
     # one row per (document row, asked term); the row number is fixed once the postings are written
-    rows = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", terms(F.col("text")).alias("t"))
-    rows = rows.select("row", "doc_id", F.size("t").cast("long").alias("n"), F.explode("t").alias("term"))
+    rows = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.sort_array(terms(F.col("text"))).alias("t"))
+    rows = _counted(rows).withColumn("n", F.size("t").cast("long"))
+    # outer: for the inner form Spark infers a filter on the counts, which counts anew for each term
+    rows = rows.select("row", "doc_id", "n", F.inline_outer("counts"))
     m = F.lit(10) + _div(F.lit(90) * F.col("n") * F.lit(big_n), F.lit(big_l))
     postings = stage(
-        rows.join(vocabulary, "term", "left_semi").groupBy("term", "row", "doc_id", "n").agg(F.count(F.lit(1)).alias("tf"))
-        .select("term", m.cast("long").alias("m"), "tf", "row", "doc_id"),
+        rows.join(vocabulary, "term", "left_semi").select("term", m.cast("long").alias("m"), "tf", "row", "doc_id"),
         "lexical_postings")
 
     weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", "df", F.floor(F.lit(1000.0) * F.log((F.lit(2.0) * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long").alias("w"))
-    # written, so that joins see its size: at most the items' distinct terms
-    asked = stage(item_terms.join(weights, "term").filter(F.col("w") > 0), "lexical_asked")
+    # written, so that joins see its size: at most the items' distinct terms; in files of many rows, as the size of many
+    # small ones is mostly their footers
+    files = -(-max(1, item_terms.count()) // FILE_ROWS)
+    asked = stage(item_terms.join(weights, "term").filter(F.col("w") > 0).repartition(files), "lexical_asked")
     strata = postings.groupBy("term", "m").agg(F.max("tf").alias("top_tf"))
 
     # a threshold per item: the k-th exact score of the documents that hold its rarest terms
@@ -115,6 +120,18 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     return _top(_exact(hits.distinct(), asked, postings), k).select("item_id", "rank", "doc_id", "score")
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """``counts``: the distinct terms of a row's sorted terms ``t`` and how often each occurs (``term, tf``).
+
+    A term's occurrences follow each other, so they are counted within the row, without an exchange.
+    """
+    t, firsts = F.col("t"), F.col("firsts")
+    full = rows.filter(F.size("t") > 0).withColumn("firsts", F.filter(
+        F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1))))
+    return full.withColumn("counts", F.transform(firsts, lambda first, k: F.struct(
+        F.get(t, first).alias("term"), (F.coalesce(F.get(firsts, k + 1), F.size(t)) - first).cast("long").alias("tf")))).drop("firsts")
+
+
 def _candidates(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     """(item, row) of the postings that hold a wanted term of the item, written."""
     if "item_id" not in postings.columns:

@@ -90,6 +90,52 @@ def test_lexical_search_threshold_matches_a_full_scan(spark):
     assert {tuple(r) for r in lexical.search(d, q, 3).collect()} == plain_search(docs, items, 3)
 
 
+def test_lexical_postings_are_counted_without_an_exchange(spark, monkeypatch):
+    docs, items = search_rows(np.random.default_rng(5))
+    d, q = frame(spark, docs, items)
+    plans = {}
+
+    def noted(df, name, write=lexical.stage):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(lexical, "stage", noted)
+    assert {tuple(r) for r in lexical.search(d, q).collect()} == plain_search(docs, items)
+    exchanges = [x for x in plans["lexical_postings"].splitlines() if re.search(r"\bExchange hashpartitioning", x)]
+    assert not [x for x in exchanges if "row#" in x]
+    # distinct terms are found once a text: a filter inferred from them would find them for each term
+    assert plans["lexical_postings"].count("filter(sequence(") == 1
+    # terms are found once in the documents and once in the items, not again for each place in a text
+    assert plans["lexical_postings"].count("regexp_extract_all") == 2
+
+
+def test_lexical_items_terms_are_written_to_few_files(spark, monkeypatch):
+    """Many small files are mostly footers, whose size kept the few rows from being broadcast."""
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in range(400)]
+    docs = [(i, " ".join(rng.choice(words, 40))) for i in range(300)]
+    items = [(j, " ".join(rng.choice(words, 10))) for j in range(20)]
+    d, q = frame(spark, docs, items)
+    files = {}
+
+    def noted(df, name, write=lexical.stage):
+        out = write(df, name)
+        files.setdefault(name, len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(lexical, "stage", noted)
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert {tuple(r) for r in lexical.search(d, q).collect()} == plain_search(docs, items)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert files["lexical_asked"] == 1
+
+
 def test_lexical_search_of_empty_tables(spark):
     d, q = frame(spark, [], [(1, "alpha")])
     assert lexical.search(d, q).count() == 0
