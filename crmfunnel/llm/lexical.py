@@ -2,7 +2,8 @@
 
 Method.  Every document gets its normaliser ``m = 10 + (90 * n * N) div L`` from its own number of
 terms ``n`` and two corpus totals (``N`` documents with a term, ``L`` terms in all).  The postings of the
-terms that the items ask for are written once with ``(term, m, tf)``; a posting's impact
+terms that the items ask for are written once with ``(term, n, tf)``, and with them one row per document for the
+totals, so that every text is taken apart once; a posting's impact
 ``(10^9 * tf) div (1000 * tf + 8 * m)`` depends on ``tf`` and ``m`` alone, so documents of one stratum
 (equal ``m``) that share a ``tf`` share it.  A stratum's bound for an item sums, over the item's terms,
 weight times the impact of the largest ``tf`` in that stratum: no document of the stratum can score more.
@@ -44,6 +45,8 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 K = 10
+#: Stands for a whole document among its terms, which are never empty; its ``tf`` is the document's number of terms.
+WHOLE = ""
 #: Tasks that rank one (item, stratum) before the ranks per item.
 SALT = 16
 #: Rows of a file of the items' terms.
@@ -73,24 +76,22 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, *, doc_id: str = "doc_
     item_type = q.schema["item_id"].dataType
     empty = d.sparkSession.createDataFrame([], f"item_id {item_type.simpleString()}, rank int, doc_id long, score long")
 
-    counted = F.coalesce(F.regexp_count(F.col("text"), F.lit(TERM)), F.lit(0)).cast("long")
-    totals = d.select(counted.alias("n")).agg(
-        F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
-    big_n, big_l = int(totals["N"]), int(totals["L"])
-    if big_l == 0:
-        return empty
-
     item_terms = q.select("item_id", F.explode(terms(F.col("text"))).alias("term")).distinct()
-    vocabulary = item_terms.select("term").distinct()
-    # one row per (document row, asked term); the row number is fixed once the postings are written
+    vocabulary = item_terms.select("term").distinct().unionByName(d.sparkSession.range(1).select(F.lit(WHOLE).alias("term")))
+    # one row per (document row, asked term) and one per document, so that texts are read once for the postings and the
+    # totals; the row number is fixed once they are written
     rows = d.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.sort_array(terms(F.col("text"))).alias("t"))
     rows = _counted(rows).withColumn("n", F.size("t").cast("long"))
+    whole = F.array(F.struct(F.lit(WHOLE).alias("term"), F.col("n").alias("tf")))
     # outer: for the inner form Spark infers a filter on the counts, which counts anew for each term
-    rows = rows.select("row", "doc_id", "n", F.inline_outer("counts"))
+    rows = rows.select("row", "doc_id", "n", F.inline_outer(F.concat(whole, "counts")))
+    written = stage(rows.join(vocabulary, "term", "left_semi").select("term", "n", "tf", "row", "doc_id"), "lexical_postings")
+    totals = written.filter(F.col("term") == WHOLE).agg(F.count(F.lit(1)).alias("N"), F.coalesce(F.sum("n"), F.lit(0)).alias("L")).first()
+    big_n, big_l = int(totals["N"]), int(totals["L"])
+    if big_l == 0:
+        return empty
     m = F.lit(10) + _div(F.lit(90) * F.col("n") * F.lit(big_n), F.lit(big_l))
-    postings = stage(
-        rows.join(vocabulary, "term", "left_semi").select("term", m.cast("long").alias("m"), "tf", "row", "doc_id"),
-        "lexical_postings")
+    postings = written.filter(F.col("term") != WHOLE).select("term", m.cast("long").alias("m"), "tf", "row", "doc_id")
 
     weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select(
         "term", "df", F.floor(F.lit(1000.0) * F.log((F.lit(2.0) * big_n + 2) / (F.lit(2.0) * F.col("df") + 1))).cast("long").alias("w"))

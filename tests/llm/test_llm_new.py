@@ -136,6 +136,21 @@ def test_lexical_items_terms_are_written_to_few_files(spark, monkeypatch):
     assert files["lexical_asked"] == 1
 
 
+def test_lexical_texts_are_read_once(spark):
+    """The totals come from the written postings, not from another pass over the texts."""
+    docs, items = search_rows(np.random.default_rng(5))
+    d, q = frame(spark, docs, items)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    assert {tuple(r) for r in lexical.search(d.mapInPandas(counted, DOCS), q).collect()} == plain_search(docs, items)
+    assert read.value == len(docs)
+
+
 def test_lexical_search_of_empty_tables(spark):
     d, q = frame(spark, [], [(1, "alpha")])
     assert lexical.search(d, q).count() == 0
