@@ -238,6 +238,19 @@ def test_batches_of_long_texts_are_bounded_in_bytes(spark):
     assert got[0] < 16_000_000 and got[1] == sum(16 * (40000 + i) for i in range(60))
 
 
+def test_batches_of_long_texts_are_a_few_mb_and_few_rows_are_read_at_once(spark, tmp_path):
+    def sizes_of(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"size": [int(pdf["text"].str.len().sum())], "many": [len(pdf)]})
+
+    texts = spark.range(0, 60, numPartitions=1).select(F.expr("repeat('0123456789abcdef', 40000 + int(id))").alias("text"))
+    texts.write.parquet(str(tmp_path / "texts"))
+    got = small_batches(spark.read.parquet(str(tmp_path / "texts"))).mapInPandas(sizes_of, "size long, many long").agg(
+        F.max("size"), F.sum("size"), F.sum("many")).first()
+    assert got[0] < 3_000_000 and got[1] == sum(16 * (40000 + i) for i in range(60)) and got[2] == 60
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) <= 512
+
+
 def test_pairs_of_blocks_are_never_sent_to_the_driver(spark):
     from crmfunnel.llm import vectors
     data = b"\0" * 512
