@@ -273,3 +273,16 @@ def test_sale_once_where_extension_rows_are_copied(spark, opt):
 
     once, twice = sales(raw), sales(copied)
     assert once[0] > 0 and twice == once
+
+
+def test_activities_are_shuffled_once_for_extension_and_messages(spark):
+    from crmfunnel.plans.prep import activity_with_source
+    from crmfunnel.sources.surrogate import raw_tables
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = activity_with_source(raw_tables(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # activities and assignments meet after their joins with messages, and aren't shuffled then
+    assert plan.index("Union") < plan.index("Exchange")
