@@ -275,6 +275,49 @@ def test_sale_once_where_extension_rows_are_copied(spark, opt):
     assert once[0] > 0 and twice == once
 
 
+def test_fact_is_stored_in_parts_of_whole_months(spark, monkeypatch):
+    from crmfunnel.plans import activity_fact as facts
+    from crmfunnel.sources import session
+    from crmfunnel.sources.surrogate import raw_tables
+    from crmfunnel.verify import env as envs
+
+    def shuffle_files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(disk.getAllFiles())
+        return {f.getName() for f in files if f.getName().startswith("shuffle_")}
+
+    folder = "/root/testdata/sf0.001/."  # stored apart from what other tests use
+    parts = []
+
+    def spy(df, path, partition_by=None, *, append=False):
+        write(df, path, partition_by, append=append)
+        if path.endswith("/activity_fact"):
+            parts.append((append, "Rebalance" in df._jdf.queryExecution().optimizedPlan().toString()))
+    write = envs.write_as_is
+    monkeypatch.setattr(envs, "write_as_is", spy)
+    monkeypatch.setattr(facts, "PART_ROWS", 300)
+    settings = {k: spark.conf.get(k, None) for k in session._WRITES}
+    e = envs.Env(spark, folder)
+    e.staged_leads  # noqa: B018  stores the stream and the leads
+    before = shuffle_files()
+    fact = e.fact
+    assert len(shuffle_files() - before) < 10  # of the count of months, none of the writes
+    assert len(parts) > 3 and parts == [(i > 0, False) for i in range(len(parts))]
+    assert {k: spark.conf.get(k, None) for k in session._WRITES} == settings
+    whole = build_activity_fact(raw_tables(spark, folder))
+    stored = fact.select(*whole.columns)
+    assert stored.count() == whole.count() > 1000
+    assert stored.exceptAll(whole).isEmpty() and whole.exceptAll(stored).isEmpty()
+
+
+def test_months_of_a_part(spark):
+    from crmfunnel.plans.activity_fact import month_runs
+    day = lambda m: dt.date(2024, m, 1)
+    rows = spark.createDataFrame([(day(m),) for m, n in ((1, 3), (2, 3), (3, 9), (5, 1), (6, 5)) for _ in range(n)], "_month date")
+    assert month_runs(rows, 6) == [(day(1), day(2)), (day(3), day(3)), (day(5), day(6))]
+    assert month_runs(rows.filter("false"), 6) == []
+
+
 def test_activities_are_shuffled_once_for_extension_and_messages(spark):
     from crmfunnel.plans.prep import activity_with_source
     from crmfunnel.sources.surrogate import raw_tables
